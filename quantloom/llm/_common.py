@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +57,16 @@ def row_base() -> int:
 
 def partitions_for(n: int, per_partition: int, least: int = 1) -> int:
     return max(least, -(-n // per_partition))
+
+
+def ids_by_chunk(ids: list[int], token_bytes: np.ndarray, chunk_bytes: list[int]) -> list[bytes]:
+    """Ids of chunks encoded as one text, cut at the chunks' ends (little-endian unsigned 32-bit).
+
+    ``token_bytes`` has the bytes each id stands for; every chunk ends where a token does.
+    """
+    own = np.array(ids, "<u4")
+    ends = np.searchsorted(np.cumsum(token_bytes[own]), np.cumsum(chunk_bytes)) + 1
+    flat, cuts = own.tobytes(), (4 * ends).tolist()
+    if cuts and cuts[-1] != len(flat):
+        raise ValueError("a token crosses the end of a chunk")
+    return [flat[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]

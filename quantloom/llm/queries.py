@@ -5,16 +5,30 @@ Each is a thin reading of an operator's result over its whole table.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantloom.llm import ann, exact_dedup, line_dedup, secret_scan, simhash
+from quantloom.llm import ann, exact_dedup, html_text, language_id, line_dedup, packing, quality, secret_scan, sentencepiece_codec, simhash
+
+#: Where the vocabulary files are; operators take the paths as parameters.
+SENTENCEPIECE_MODEL = str(public_tokenizers.path("piece_bpe_32k.model"))
+BYTE_BPE = str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _remainder(divisor: int):
+    """crc32 of doc_id as text, modulo ``divisor``; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % divisor
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.code(_read(spark, sf_dir, "documents"), SENTENCEPIECE_MODEL, keep=False)
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.LineIndex.build(docs).apply(docs).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
@@ -32,19 +46,45 @@ def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    net = quality.learn(docs, _read(spark, sf_dir, "labels"), _remainder(5) != 0)
+    scored = quality.classify(docs, net)
+    return scored.select("doc_id", (_remainder(5) == 0).alias("held_out"), "score", F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"), BYTE_BPE)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(_read(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    learned = language_id.learn(docs.where(_remainder(4) != 2))
+    return language_id.predict(docs.select("doc_id", "text"), learned).select("doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_line_dedup": op2_line_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_ann": op4_ann,
+    "op5_quality": op5_quality,
+    "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
+    "op8_language_id": op8_language_id,
+    "op9_html_text": op9_html_text,
     "op10_exact_dedup": op10_exact_dedup,
 }
 

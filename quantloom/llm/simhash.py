@@ -104,18 +104,25 @@ def components(edges: DataFrame) -> DataFrame:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits), component_id."""
-    prints = saved(fingerprints(docs, id_col, text_col, words), "simhash")
+def _grouped(prints: DataFrame, radius: int) -> DataFrame:
+    """(fp, component_id) of each distinct fingerprint in ``prints`` (doc_id, fp)."""
     distinct = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     roots = components(links(distinct.select("fp"), radius))
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = rooted.join(smallest, "root").select("fp", "component_id")
-    return prints.join(labels, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return rooted.join(smallest, "root").select("fp", "component_id")
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """One row per document: doc_id, fingerprint (16 hex digits), component_id."""
+    prints = saved(fingerprints(docs, id_col, text_col, words), "simhash")
+    return prints.join(_grouped(prints, radius), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_firsts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one document of each group: that with the smallest id."""
-    firsts = near_groups(docs, id_col, text_col, words, radius).select(F.col("component_id").alias("__keep")).distinct()
-    return docs.join(firsts, docs[id_col].eqNullSafe(firsts["__keep"]), "left_semi")
+    """``docs`` with one document of each group: that with the smallest id, once."""
+    prints = saved(fingerprints(docs, id_col, text_col, words), "simhash")
+    firsts = _grouped(prints, radius).select(F.col("component_id").alias("__keep")).distinct()
+    kept = docs.join(firsts, docs[id_col].eqNullSafe(firsts["__keep"]), "left_semi")
+    repeated = not prints.groupBy("doc_id").count().where("count > 1").isEmpty()
+    return kept.dropDuplicates([id_col]) if repeated else kept
