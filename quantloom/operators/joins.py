@@ -123,13 +123,13 @@ def neighbour_median(df: DataFrame, keys: Keys, own: str, year: str, value: str,
 
 
 def cell_diff(before: DataFrame, after: DataFrame, keys: Keys, columns: Keys, tolerance: float = 0.0) -> DataFrame:
-    """O3.13, O9.16, O9.26: (keys, column, before, after, kind) of every cell that changed.
+    """O3.13, O9.16, O9.26: (keys, item, before, after, kind) of every cell that changed.
 
     kind: added, removed, null_to_value, value_to_null, changed (relative difference over
     ``tolerance``). Rows with equal keys must be one on each side.
     """
-    long = lambda df, name: df.select(*keys, F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias(name)) for c in columns))).alias("c")).select(*keys, "c.*", F.lit(True).alias(f"has_{name}"))
-    both = long(before, "before").join(long(after, "after"), [*keys, "column"], "full")
+    long = lambda df, name: df.select(*keys, F.explode(F.array(*(F.struct(F.lit(c).alias("item"), F.col(c).cast("double").alias(name)) for c in columns))).alias("c")).select(*keys, "c.*", F.lit(True).alias(f"has_{name}"))
+    both = long(before, "before").join(long(after, "after"), [*keys, "item"], "full")
     b, a = F.col("before"), F.col("after")
     kind = (
         F.when(F.col("has_before").isNull(), "added")
