@@ -23,11 +23,11 @@ def discrete_quarters(df: DataFrame, keys: Keys, year: str, period: str, flows:
     """
     values = [*flows, *stocks, quality]
     at = lambda p: F.max_by(F.struct(F.lit(True).alias("has"), *values), F.when(F.col(period) == p, F.lit(1)))
-    wide = df.groupBy(*keys, year).agg(*(at(p).alias(p) for p, _ in STEPS.values()))
+    wide = df.groupBy(*keys, year).agg(*(at(p).alias(f"__{p}") for p, _ in STEPS.values()))
     parts = []
     for q, (end, before) in STEPS.items():
-        e = F.col(end)
-        b = F.col(before) if before else None
+        e = F.col(f"__{end}")
+        b = F.col(f"__{before}") if before else None
         flow = {f: e[f] if b is None else e[f] - b[f] for f in flows}
         lost = F.lit(False) if b is None else F.greatest(*(e[f].isNotNull() & b[f].isNull() for f in flows), F.lit(False))
         whole = e["has"].isNotNull() if b is None else e["has"].isNotNull() & b["has"].isNotNull()
