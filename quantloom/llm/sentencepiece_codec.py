@@ -133,7 +133,7 @@ class Codec:
         if spec.squeeze:
             from tokenizers import Regex
 
-            steps += [normalizers.Replace(Regex("^ +| +$"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
+            steps += [normalizers.Replace(Regex(r"\A +| +\z"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
         if spec.escape:
             steps.append(normalizers.Replace(" ", SPACE))
         if spec.dummy_prefix:
