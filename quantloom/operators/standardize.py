@@ -13,6 +13,7 @@ from itertools import product
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quantloom.functions.nullsafe import filled, num
 from quantloom.operators.windows import Keys, over, top_n
@@ -313,7 +314,7 @@ def solved_signs(opening: int, moves: list[int], closing: int, free: list[bool],
 
 def repaired_equity(cells: DataFrame, keys: Keys, order: str) -> DataFrame:
     """O6.49 per equity column: rows of role open, move or close in order; ``unmarked`` moves may change sign."""
-    schema = cells.schema.add("fixed", "long")
+    schema = T.StructType([*cells.schema.fields, T.StructField("fixed", T.LongType())])
 
     def repair(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
@@ -376,3 +377,56 @@ def prior_tables(meta: DataFrame, keys: Keys) -> DataFrame:
     numbered = meta.withColumn("__term", term)
     first = numbered.groupBy(*keys).agg(F.min_by(F.struct("__term", "table_seq"), "table_seq").alias("__f"))
     return numbered.join(first, list(keys)).where((F.col("table_seq") > F.col("__f.table_seq")) & (F.col("__term") < F.col("__f.__term"))).drop("__f", "__term")
+
+
+#: O6.10c: words that only say which sign a line may have.
+SIGN_WORDS = r"(?i)\s*\((?:loss|decrease|outflow|손실|감소|유출)\)|\b(?:gain|loss|increase|decrease)\b|(?:이익|손실|증가|감소)(?=\s|$)"
+
+
+def relabelled(old: DataFrame, new: DataFrame, keys: Keys) -> DataFrame:
+    """O6.10a, c: cells of ``old`` that the later filing prints under another label: (keys, label, new_label, how).
+
+    position: same place, amount and track, another label, whose account the old filing doesn't
+    print with another value; sign word: labels that differ by sign words only, one on each side,
+    with values of one sign. Both sides have label, code, place, track, value.
+    """
+    a = old.select(*keys, "place", "track", "value", F.col("label").alias("label"))
+    b = new.select(*keys, "place", "track", "value", F.col("label").alias("new_label"), "code")
+    moved = a.join(b, [*keys, "place", "track", "value"]).where(F.col("label") != F.col("new_label"))
+    printed = old.select(*keys, "code", F.col("value").alias("__other"))
+    clash = moved.join(printed, [*keys, "code"]).where(F.col("__other") != F.col("value")).select(*keys, "place").distinct()
+    by_place = moved.join(clash, [*keys, "place"], "left_anti").select(*keys, "label", "new_label", F.lit("position").alias("how"))
+    bare = lambda c: F.trim(F.regexp_replace(c, SIGN_WORDS, ""))
+    single = lambda df, name: df.groupBy(*keys, bare("label").alias("__bare")).agg(F.count(F.lit(1)).alias("__n"), F.max("label").alias(name), F.max("value").alias(f"__v_{name}")).where("__n = 1").drop("__n")
+    by_word = single(old, "label").join(single(new, "new_label"), [*keys, "__bare"]).where((F.col("label") != F.col("new_label")) & (F.sign("__v_label") == F.sign("__v_new_label"))).select(*keys, "label", "new_label", F.lit("sign word").alias("how"))
+    return by_place.unionByName(by_word.join(by_place.select(*keys, "label"), [*keys, "label"], "left_anti"))
+
+
+def aligned_restatements(old: list[tuple[str, int]], new: list[tuple[str, int]], least: int = 5, share: float = 0.5, run: int = 3) -> dict[int, int]:
+    """O6.10b: (account, value) sequences aligned by their longest common parts: old place -> new value of replaced runs.
+
+    Needs ``least`` rows, ``share`` of them equal, and runs of at most ``run`` rows of equal length.
+    """
+    from difflib import SequenceMatcher
+
+    if min(len(old), len(new)) < least:
+        return {}
+    match = SequenceMatcher(None, [a for a, _ in old], [a for a, _ in new], autojunk=False)
+    steps = match.get_opcodes()
+    if sum(j - i for tag, i, j, _, _ in steps if tag == "equal") < share * max(len(old), len(new)):
+        return {}
+    return {i + k: new[m + k][1] for tag, i, j, m, n in steps if tag == "replace" and j - i == n - m <= run for k in range(j - i)}
+
+
+def restated(cells: DataFrame, keys: Keys) -> DataFrame:
+    """O6.10b per statement: ``cells`` holds the old and new filing (``version`` 0 and 1) with place, code and value; gives the old cells with the value they take."""
+    schema = T.StructType([*cells.schema.fields, T.StructField("restated", T.LongType())])
+
+    def align(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["version", "place"])
+        old, new = pdf[pdf["version"] == 0].copy(), pdf[pdf["version"] == 1]
+        taken = aligned_restatements(list(zip(old["code"], old["value"], strict=True)), list(zip(new["code"], new["value"], strict=True)))
+        old["restated"] = [taken.get(k, v) for k, v in enumerate(old["value"])]
+        return old
+
+    return cells.groupBy(*keys).applyInPandas(align, schema)
