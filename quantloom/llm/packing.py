@@ -40,13 +40,16 @@ from quantloom.llm._common import ids_by_chunk, partitions_for, saved, table_bat
 WINDOW, GRAIN, TIERS = 1024, 64, (1024, 512, 256, 128, 64)
 STEP_WINDOWS = 256
 END_ID = 0
-#: Chunks a worker remembers; it starts afresh beyond.
-REMEMBERED = 300_000
+#: Chunks in each of the two generations a worker remembers (about 80 MB each).
+REMEMBERED = 400_000
 #: Pieces in one (class, salt) on average at most, if all have one length.
 SALT_PIECES = 200_000
 
 _BREAK = re.compile(r"(?<=\S) ")
-_UNSAFE = re.compile(r"\s |^ ")
+#: White space before a space: there a chunk's end isn't a word's end.
+_UNSAFE = tuple(chr(c) + " " for c in range(0x3001) if chr(c).isspace())
+#: Between a letter and a run of these a word ends.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class ChunkEncoder:
@@ -62,21 +65,52 @@ class ChunkEncoder:
         for token, k in self.tokenizer.get_vocab().items():
             self._token_bytes[k] = len(token)  # byte-level: a character of a token is a byte
         self._inner: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
         self._first: dict[str, bytes] = {}
 
-    def _fill(self, known: dict[str, bytes], chunks: set[str], prefix: str) -> None:
-        new = [c for c in chunks if c not in known]
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(chunks)
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            if prefix:  # chunks that start with a space stay apart when they are encoded as one text
-                ids = self.tokenizer.encode("".join([prefix + c for c in part]), add_special_tokens=False).ids
-                known.update(zip(part, ids_by_chunk(ids, self._token_bytes, [len((prefix + c).encode()) for c in part]), strict=True))
+    def _remember(self, chunks: set[str]) -> None:
+        """Have the ids of all ``chunks``, each after a space, in the young generation."""
+        if len(self._inner) > REMEMBERED:
+            self._inner, self._old = {}, self._inner
+        known, old = self._inner, self._old
+        new, pairs, words = [], [], set()
+        for c in chunks:
+            if c in known:
+                continue
+            if ids := old.get(c):
+                known[c] = ids
+                continue
+            word = c.rstrip(_MARKS)
+            if word.isalpha():
+                if word not in known:
+                    words.add(word)
+                if word != c:
+                    pairs.append((c, word, c[len(word) :]))
             else:
-                for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                    known[c] = np.array(e.ids, "<u4").tobytes()
+                new.append(c)
+        self._alone({m for _, _, m in pairs})
+        self._together([w for w in words if not self._kept(w)])
+        self._together(new)
+        known.update([(c, known[w] + self._first[m]) for c, w, m in pairs])
+
+    def _kept(self, word: str) -> bool:
+        if ids := self._old.get(word):
+            self._inner[word] = ids
+        return bool(ids)
+
+    def _together(self, chunks: list[str]) -> None:
+        """Encode chunks as one text: with a space before each they stay apart."""
+        for at in range(0, len(chunks), 20_000):
+            part = chunks[at : at + 20_000]
+            ids = self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids
+            self._inner.update(zip(part, ids_by_chunk(ids, self._token_bytes, [len(c.encode()) + 1 for c in part]), strict=True))
+
+    def _alone(self, chunks: set[str]) -> None:
+        if len(self._first) > REMEMBERED // 8:
+            self._first.clear()
+        new = [c for c in chunks if c not in self._first]
+        for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            self._first[c] = np.array(e.ids, "<u4").tobytes()
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -97,14 +131,15 @@ class ChunkEncoder:
             if any(s in text for s in self.special):
                 split.append(None)
             else:
-                split.append(_BREAK.split(text) if _UNSAFE.search(text) else text.split(" "))
+                unsafe = text[:1] == " " or any(w in text for w in _UNSAFE)
+                split.append(_BREAK.split(text) if unsafe else text.split(" "))
         inner, first = set(), set()
         for parts in split:
             if parts:
                 first.add(parts[0])
                 inner.update(parts[1:])
-        self._fill(self._first, first, "")
-        self._fill(self._inner, inner, " ")
+        self._remember(inner)
+        self._alone(first)
         get = self._inner.__getitem__
         for text, parts in zip(texts, split, strict=True):
             yield self.whole(text) if parts is None else self._first[parts[0]] + b"".join(map(get, parts[1:]))
