@@ -118,8 +118,9 @@ def neighbour_median(df: DataFrame, keys: Keys, own: str, year: str, value: str,
     A row is copied to each year in its span and met by equality, not by range.
     """
     near = df.select(*keys, F.col(own).alias("__own"), F.explode(F.sequence(F.col(year) - span, F.col(year) + span)).alias(year), F.col(value).alias("__value"))
-    rows = df.join(near, [*keys, year], "left").where(F.col("__own").isNull() | (F.col("__own") != F.col(own)))
-    return rows.groupBy(*keys, own, year, value).agg(F.median("__value").alias("neighbour_median"), F.count("__value").alias("n_neighbours"))
+    other = F.when(F.col("__own") != F.col(own), F.col("__value"))
+    rows = df.join(near, [*keys, year], "left")
+    return rows.groupBy(*keys, own, year, value).agg(F.median(other).alias("neighbour_median"), F.count(other).alias("n_neighbours"))
 
 
 def cell_diff(before: DataFrame, after: DataFrame, keys: Keys, columns: Keys, tolerance: float = 0.0) -> DataFrame:

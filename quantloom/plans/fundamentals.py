@@ -45,7 +45,7 @@ ITEMS = {
     "price": "market_cap // shares_out",
     "data_quality": "CASE WHEN n % 17 = 0 THEN 3 WHEN n % 10 = 0 THEN 2 ELSE 1 END",
 }
-MONEY = tuple(c for c in ITEMS if c != "data_quality")
+MONEY = ("revenue", *(c for c in ITEMS if c != "data_quality"))
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

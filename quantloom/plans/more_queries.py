@@ -35,7 +35,7 @@ def condition_filters(spark, sf_dir):
 @query("o2_12_shown", "corp #fy shown_margin shown_amount", "SELECT corp, fy, CASE WHEN m IS NULL THEN '-' ELSE format('{:,.1f}', round(m * 100, 1)) END AS shown_margin, CASE WHEN net_debt IS NULL THEN '-' ELSE format('{:,.0f}', net_debt // 1000000 * 1.0) END AS shown_amount FROM (SELECT *, (n % 40 - 20) / 8.0 AS m FROM a)", A)
 def shown(spark, sf_dir):
     rows = annual(spark, sf_dir).withColumn("m", (F.col("n") % 40 - 20) / 8)
-    return rows.withColumns({"shown_margin": screen.shown(F.col("m"), "pct"), "shown_amount": screen.shown(F.expr("CAST(FLOOR(net_debt / 1000000.0) AS LONG)"), "raw", 0)})
+    return rows.withColumns({"shown_margin": screen.shown(F.col("m"), "pct"), "shown_amount": screen.shown(F.expr("net_debt div 1000000"), "raw", 0)})
 
 
 @query("o2_13_prior_tables", "#o_custkey #table_seq", "SELECT o_custkey, o_orderkey AS table_seq FROM (SELECT *, arg_min(o_orderkey % 40, o_orderkey) OVER w AS t, min(o_orderkey) OVER w AS s FROM orders WINDOW w AS (PARTITION BY o_custkey)) WHERE o_orderkey > s AND o_orderkey % 40 < t")

@@ -7,8 +7,12 @@ from pyspark.sql import types as T
 from quantloom.plans.fundamentals import MONEY
 
 
+_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "date": T.DateType(), "timestamp_ntz": T.TimestampNTZType(), "decimal(38,6)": T.DecimalType(38, 6), "map<string,string>": T.MapType(T.StringType(), T.StringType()), "map<string,array<string>>": T.MapType(T.StringType(), T.ArrayType(T.StringType()))}
+
+
 def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """'name type, name type'; needs no session."""
+    return T.StructType([T.StructField(n, _TYPES[t]) for n, t in (x.split(" ") for x in text.split(", "))])
 
 
 CORPORATIONS = _struct("corp_code string, corp_name string, stock_code string, market string, industry_code string, fiscal_month int, status string")

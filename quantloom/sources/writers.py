@@ -17,7 +17,7 @@ def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
 
 def csv(df: DataFrame, path: str) -> None:
     """O1.14: UTF-8 CSV with a header, written in parallel (one file a partition)."""
-    df.write.mode("overwrite").option("header", "true").option("encoding", "UTF-8").csv(path)
+    df.write.mode("overwrite").option("header", "true").option("encoding", "UTF-8").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
 
 
 def review_csv(lines: DataFrame, path: str) -> None:

@@ -98,9 +98,14 @@ def capturing(hashes: Versions, changes: Versions, keys: Sequence[str], scope: s
     return each
 
 
+def _timed(df: DataFrame, time: str) -> DataFrame:
+    """Watermarks need timestamps with a zone; local ones are read in the session's."""
+    return df.withColumn(time, F.col(time).cast("timestamp"))
+
+
 def without_repeats(stream: DataFrame, time: str, keys: Sequence[str], lateness: str = "15 days") -> DataFrame:
     """O12.4: the first row of each key within the re-fetch window."""
-    return stream.withWatermark(time, lateness).dropDuplicatesWithinWatermark(list(keys))
+    return _timed(stream, time).withWatermark(time, lateness).dropDuplicatesWithinWatermark(list(keys))
 
 
 # --- extension: event-time windows, which the original has none of ----------------------
@@ -109,12 +114,12 @@ def without_repeats(stream: DataFrame, time: str, keys: Sequence[str], lateness:
 def windowed(events: DataFrame, time: str, size: str, slide: str | None = None, keys: Sequence[str] = (), lateness: str = "10 minutes") -> DataFrame:
     """Tumbling (or, with ``slide``, sliding) counts and sums; rows later than ``lateness`` go."""
     at = F.window(time, size, slide) if slide else F.window(time, size)
-    out = events.withWatermark(time, lateness).groupBy(at.alias("w"), *keys).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total"))
+    out = _timed(events, time).withWatermark(time, lateness).groupBy(at.alias("w"), *keys).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total"))
     return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, "n", "total")
 
 
 def sessions(events: DataFrame, time: str, key: str, gap: str = "30 minutes", lateness: str = "10 minutes") -> DataFrame:
-    out = events.withWatermark(time, lateness).groupBy(F.session_window(time, gap).alias("w"), key).agg(F.count(F.lit(1)).alias("n"))
+    out = _timed(events, time).withWatermark(time, lateness).groupBy(F.session_window(time, gap).alias("w"), key).agg(F.count(F.lit(1)).alias("n"))
     return out.select(key, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n")
 
 
