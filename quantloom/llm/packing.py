@@ -42,8 +42,8 @@ STEP_WINDOWS = 256
 END_ID = 0
 #: Chunks in each of the two generations a worker remembers (about 80 MB each).
 REMEMBERED = 400_000
-#: Pieces in one (class, salt) on average at most, if all have one length.
-SALT_PIECES = 200_000
+#: Salts: pieces in one (class, salt) are this many on average at most, even if all have one length.
+SALT_PIECES, LEAST_SALTS = 50_000, 64
 
 _BREAK = re.compile(r"(?<=\S) ")
 #: White space before a space: there a chunk's end isn't a word's end.
@@ -223,7 +223,7 @@ def plan(counts: dict[int, int]) -> tuple[list[tuple[int, int, int, int, int, in
 def packed(cut: DataFrame) -> DataFrame:
     """``cut`` (from :func:`pieces`, saved) with sequence_id, offset, tier and step_group."""
     n = cut.count()
-    salts = partitions_for(n, SALT_PIECES)
+    salts = partitions_for(n, SALT_PIECES, LEAST_SALTS)
     salted = cut.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(salts)).cast("int"))
     sums = salted.groupBy("length", "__salt").agg(F.count(F.lit(1)).alias("n"))
     counts = {r["length"]: r["n"] for r in sums.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # fewer than 80 rows
