@@ -36,9 +36,11 @@ _HIDDEN = frozenset("script style noscript template title textarea select svg ma
 _RAW = frozenset(("script", "style", "textarea", "title", "iframe"))
 _CONTAINERS = frozenset("article aside body details dialog div dl fieldset figure footer form header li main menu nav ol section table td ul".split())
 _ALWAYS_OUT = frozenset(("nav", "footer", "aside", "menu", "dialog"))
-_ALWAYS_OUT_NAMES = frozenset("comment comments commentlist disqus respond reply replies nav navbar navigation menu breadcrumb breadcrumbs footer cookie cookies consent gdpr ad ads advert adverts advertisement adsense sponsored sponsor promo promotion newsletter subscribe popup modal".split())
-_OUT_NAMES = frozenset("header masthead topbar sidebar aside widget widgets related recommended recommendations share sharing social signup login search pagination pager toolbar copyright legal disclaimer banner notice notices alert overlay rail teaser teasers tags taglist byline meta".split())
+_ALWAYS_OUT_NAMES = frozenset("comment comments commentlist disqus respond reply replies nav navbar navigation menu breadcrumb breadcrumbs footer cookie cookies consent gdpr ad ads advert adverts advertisement adsense sponsored sponsor promo promotion newsletter subscribe popup modal discussion feedback responses toc".split())
+_OUT_NAMES = frozenset("masthead topbar sidebar side secondary announcement toast aside widget widgets related recommended recommendations share sharing social signup login search pagination pager toolbar copyright legal disclaimer banner notice notices alert overlay rail teaser teasers tags taglist byline meta".split())
 _IN_NAMES = frozenset("article articlebody content post entry story main text prose body".split())
+#: Words for layouts and variants: "has-sidebar", "no-ads" and "with-comments" name no furniture.
+_VARIANTS = frozenset("no has with without free".split())
 _OUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|</?[a-zA-Z][^>]*\Z|<//?\Z""", re.S)
@@ -52,12 +54,12 @@ class Block:
     words: int
     linked: int
     heading: bool
-    place: int  # 1 in an article, -1 in page furniture, 0 neither
+    place: float  # 1 in an article, -1 in page furniture, -0.5 in a header, 0 neither
     within: bool  # an article is open, whatever else is
 
 
-def _kind(name: str, attributes: str) -> tuple[int, bool]:
-    """What an opening tag says: 1 article, -1 furniture, 0 nothing; and whether that holds whatever is inside it."""
+def _kind(name: str, attributes: str) -> tuple[float, bool]:
+    """What an opening tag says: 1 article, -1 furniture, -0.5 a header (of the page or of an article), 0 nothing; and whether that holds whatever is inside it."""
     if name in _ALWAYS_OUT:
         return -1, True
     if attributes:
@@ -73,27 +75,31 @@ def _kind(name: str, attributes: str) -> tuple[int, bool]:
                     return 1, False
             elif (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)) or key == "hidden" or (key == "aria-hidden" and value == "true"):
                 return -1, True
+        if names & _VARIANTS:
+            names -= _ALWAYS_OUT_NAMES | _OUT_NAMES
         if names & _ALWAYS_OUT_NAMES and name not in ("body", "html", "article", "main"):
             return -1, True
         if name in ("article", "main"):
             return (-1, True) if names & {"comment", "comments", "reply"} else (1, False)
         if names & _OUT_NAMES and name != "body":
             return -1, False
-        if names & _IN_NAMES and name != "body":
+        if name == "header" or ("header" in names and name != "body"):
+            return -0.5, False
+        if names & _IN_NAMES and name not in ("body", "form"):
             return 1, False
     if name in ("article", "main"):
         return 1, False
-    return (-1, False) if name in ("header", "form") else (0, False)
+    return {"header": -0.5, "form": -1.0}.get(name, 0.0), False
 
 
 def blocks(html: str) -> list[Block]:
     out: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
-    open_tags: list[tuple[str, int, bool]] = []
+    open_tags: list[tuple[str, float, bool]] = []
     hidden: list[str] = []
     in_link, heading = False, False
-    place, within = 0, False
+    place, within = 0.0, False
     at, n = 0, len(html)
 
     def flush() -> None:
@@ -106,14 +112,14 @@ def blocks(html: str) -> list[Block]:
 
     def look() -> None:
         nonlocal place, within
-        place, within = 0, False
+        place, within = 0.0, False
         for _, kind, always in open_tags:
             if kind > 0:
                 within = True
             if kind:
                 place = kind
             if always:
-                place = -1
+                place = -1.0
                 return
 
     while at < n:
@@ -233,6 +239,8 @@ SAMPLES = (
     "<article><header><p>-5</p><h1>+10</h1></header><div class='byline'>-6/2</div><p>+16</p><p>+5</p><div class='promo'><p>-33/3</p></div><p>+77</p><nav>-4/4</nav></article><article class='comment'><p>-50</p></article>",
     "<header><p>-40</p></header><div class='notice'><p>-60</p></div><article><p>+1</p></article><article><h2>+2</h2><p>+3/3</p></article><form><p>-50</p></form><footer><h2>-3</h2><p>-90</p></footer>",
     "<header><h2>-8</h2><p>-20</p><h1>-12</h1></header><aside><h2>-9</h2><p>-7</p></aside><div class='related'><h3>-11</h3><p>-30</p></div><article><h1>+2</h1><p>+30</p><aside><h3>-8</h3></aside><div class='comments'><h2>-13</h2></div></article><footer><h3>-10</h3></footer>",
+    "<article><header class='entry-header'><h1>+4</h1><p>-4/1</p></header><p>+50</p></article><article><header><p>-3/3</p><h2>+13</h2><p>-9</p></header><p>+9</p></article><main><div class='post-header'><h1>+8</h1><p>-2</p></div><p>+4</p><p>+33/2</p></main>",
+    "<header><h1>-2/2</h1></header><header><h2>-4</h2><h3>-9</h3></header><article><p>+20</p><aside><h2>-3</h2><h3>-14</h3><p>-5</p></aside><h2>+6</h2><p>+18</p></article><div class='sidebar'><h2>-4</h2><h4>-7</h4></div><form><h3>-6</h3></form>",
     "<div>-2</div><div>-3</div><h1>+7</h1><p>+66</p><p>+8</p><p>+29</p><div>-4</div><div>-2/1</div>",
     "<h1>+5</h1><p>+20</p><h2>+3</h2><p>+25</p><p>+17</p>",
 )
