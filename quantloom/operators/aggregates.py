@@ -31,8 +31,10 @@ def peer_medians(df: DataFrame, sector: str, key: str, metrics: Keys, least: int
     A sector needs ``least`` companies besides the target; a metric with fewer than ``least``
     values, or a NULL target, has no median.
     """
-    grouped = df.groupBy(sector).agg(F.count(F.lit(1)).alias("n_sector"), *(F.median(m).alias(f"__m_{m}") for m in metrics), *(F.count(m).alias(f"__n_{m}") for m in metrics))
-    out = df.join(grouped, sector).where(F.col("n_sector") - 1 >= least)
+    # All three windows have the sector as key: one shuffle.
+    whole = Window.partitionBy(sector)
+    out = df.select(sector, key, *metrics).withColumns({"n_sector": F.count(F.lit(1)).over(whole)} | {f"__m_{m}": F.median(m).over(whole) for m in metrics} | {f"__n_{m}": F.count(m).over(whole) for m in metrics})
+    out = out.where(F.col("n_sector") - 1 >= least)
     ok = lambda m: F.col(m).isNotNull() & (F.col(f"__n_{m}") >= least)
     below = lambda m: (F.rank().over(over([sector], F.col(m).asc_nulls_last())) - 1) * 100.0 / F.nullif(F.col(f"__n_{m}"), F.lit(0))
     return out.select(sector, key, "n_sector", *(c for m in metrics for c in (F.col(m), F.when(ok(m), F.col(f"__m_{m}")).alias(f"{m}_median"), F.when(ok(m), below(m)).alias(f"{m}_percentile"))))

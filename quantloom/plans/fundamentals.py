@@ -69,7 +69,9 @@ def ordered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = read(spark, sf_dir, "customer").select("c_custkey", company().alias("corp"))
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("fy"), F.quarter("o_orderdate").alias("q"), "o_orderstatus", "o_orderpriority")
     lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice", "l_discount", "l_tax", "l_quantity")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    # Orders find their company first, so the lines are shuffled once.
+    placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey", "c_custkey")
+    return lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def statements(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quantloom.functions import metrics
 from quantloom.functions.nullsafe import cagr, growth, turn
 from quantloom.operators.windows import Keys, ordered, rank_min, top_n, ttm, with_previous
+from quantloom.plans.tables import written
 
 _CONDITION = re.compile(r"\s*(>=|<=|>|<|==|=)\s*(-?\d+(?:\.\d+)?)\s*(%?)\s*")
 _OPS = {">=": "gte", "<=": "lte", ">": "gt", "<": "lt", "==": "eq", "=": "eq"}
@@ -117,7 +118,8 @@ def base_frame(rows: DataFrame, key: str, newest_first: Sequence[Column], newest
 def magic_rank(frame: DataFrame) -> DataFrame:
     """O8.11: rank by yield plus rank by return on capital, both needed, ranked again, smallest first."""
     both = F.col("earnings_yield").isNotNull() & F.col("return_on_capital").isNotNull()
-    marked = frame.withColumns({"__ey": F.when(both, F.col("earnings_yield")), "__rc": F.when(both, F.col("return_on_capital"))})
+    # Each rank reads the frame twice; it has a row per company, so it is written rather than computed eight times.
+    marked = written(frame, "screen-base").withColumns({"__ey": F.when(both, F.col("earnings_yield")), "__rc": F.when(both, F.col("return_on_capital"))})
     ranked = rank_min(rank_min(marked, "__ey", "__r1"), "__rc", "__r2").withColumn("__sum", F.col("__r1") + F.col("__r2"))
     return rank_min(ranked, "__sum", "magic_rank", descending=False).drop("__ey", "__rc", "__r1", "__r2", "__sum")
 

@@ -2,21 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quantloom.plans.catalog import query
 from quantloom.plans.fundamentals import read
+from quantloom.plans.tables import shared
 from quantloom.streaming import micro_batches as mb
 
 
-def shared(spark: SparkSession, name: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file:///tmp/quantloom-shared"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = read(spark, sf_dir, "events").schema
     return mb.files(spark, sf_dir, schema, glob="events.parquet")
