@@ -1,5 +1,6 @@
 """SentencePiece parity, packing and the pipeline."""
 
+import hashlib
 import random
 import struct
 import zlib
@@ -180,7 +181,7 @@ def test_packing_of_the_table(spark):
 
 def test_pipeline(spark):
     """Each stage on what the one before kept, against plain code."""
-    from quantloom.llm import secret_scan, simhash
+    from quantloom.llm import simhash
 
     from .test_dedup import brute_components, brute_lines, brute_print
     from .test_search_and_secrets import brute
@@ -194,8 +195,6 @@ def test_pipeline(spark):
     texts_of = [{r.doc_id: r.text for r in f.select("doc_id", "text").collect()} for f in frames[:-1]]
     assert set(texts_of[1]) == {d for d, t in texts_of[0].items() if t and any(c.isalpha() for c in t)}
     wanted = {d: (n, k) for d, _, n, k in brute_lines([(d, t) for d, t in texts_of[1].items()])}
-    import hashlib
-
     assert {d: hashlib.sha256(t.encode()).hexdigest() for d, t in texts_of[2].items()} == {d: k for d, (_, k) in wanted.items()}
     groups = brute_components({d: brute_print(t) for d, t in texts_of[2].items()}, simhash.RADIUS)
     assert set(texts_of[3]) == set(groups.values())
@@ -203,7 +202,6 @@ def test_pipeline(spark):
         assert (texts_of[4][d] == t) == (brute(t) == "") and brute(texts_of[4][d]) == ""
     assert all(r.n_chars == len(r.text) for r in frames[4].collect())
     check_packed(frames[5].collect(), list(texts_of[4].items()))
-    del secret_scan
 
 
 def test_stage_names():
