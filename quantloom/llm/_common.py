@@ -37,6 +37,18 @@ def saved(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch at most: texts may be long, and a worker holds a batch several times over.
+BATCH_ROWS = 1000
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after the session's Arrow batches were lowered to BATCH_ROWS rows where they are larger."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, BATCH_ROWS)
+    return df
+
+
 def raw(column: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column, without decoding."""
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from quantloom.llm._common import table_batch
+from quantloom.llm._common import in_small_batches, table_batch
 
 TRAIN_DOCS, TRAIN_CHARS = 40, 20_000
 BLOCK = 512
@@ -220,4 +220,4 @@ def predict(docs: DataFrame, learned: tuple[tuple[str, str], ...], text_col: str
             yield pa.RecordBatch.from_arrays([*batch.columns, *added.columns], names=[*batch.schema.names, *_OUT.names])
 
     schema = T.StructType([*(docs.schema[c] for c in rest), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.select(*rest).mapInArrow(judged, schema)
+    return in_small_batches(docs.select(*rest)).mapInArrow(judged, schema)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quantloom.llm._common import WHITE, partitions_for, raw, saved, scratch_path, table_batch
+from quantloom.llm._common import WHITE, in_small_batches, partitions_for, raw, saved, table_batch
 
 MIN_POINTS, MIN_DOCS = 20, 3
 #: Keys a shard holds on average: bounds a task's memory (about 60 MB of Python objects).
@@ -240,27 +240,24 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _CUT_TYPES = "long", "long", "string", "string"
 
 
-def _cutter(schema: pa.Schema):
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n_lines, n_dropped, sums, kept = [], [], [], []
-            for text, drop in zip(raw(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                text = text or b""
-                n = text.count(b"\n") + 1
-                gone = 0
-                if drop:
-                    drop = set(drop)
-                    lines = [x for x, d in zip(text.split(b"\n"), _digests(text), strict=True) if d not in drop]
-                    gone = n - len(lines)
-                    text = b"\n".join(lines)
-                n_lines.append(n)
-                n_dropped.append(gone)
-                sums.append(hashlib.sha256(text).hexdigest())
-                kept.append(text.decode())
-            added = [pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(sums, pa.string()), pa.array(kept, pa.string())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[2:], *added], names=[*batch.schema.names[2:], "n_lines", "n_dropped", "kept_sha256", "kept_text"])
-
-    return cut
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n_lines, n_dropped, sums, kept = [], [], [], []
+        for text, drop in zip(raw(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+            text = text or b""
+            n = text.count(b"\n") + 1
+            gone = 0
+            if drop:
+                drop = set(drop)
+                lines = [x for x, d in zip(text.split(b"\n"), _digests(text), strict=True) if d not in drop]
+                gone = n - len(lines)
+                text = b"\n".join(lines)
+            n_lines.append(n)
+            n_dropped.append(gone)
+            sums.append(hashlib.sha256(text).hexdigest())
+            kept.append(text.decode())
+        added = [pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(sums, pa.string()), pa.array(kept, pa.string())]
+        yield pa.RecordBatch.from_arrays([*batch.columns[2:], *added], names=[*batch.schema.names[2:], "n_lines", "n_dropped", "kept_sha256", "kept_text"])
 
 
 class LineIndex:
@@ -280,7 +277,7 @@ class LineIndex:
     @staticmethod
     def _posted(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-        return rows.mapInArrow(_post, "digest binary, doc_id long").dropDuplicates(["digest", "doc_id"])
+        return in_small_batches(rows).mapInArrow(_post, "digest binary, doc_id long").dropDuplicates(["digest", "doc_id"])
 
     @classmethod
     def build(cls, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LineIndex:
@@ -331,4 +328,4 @@ class LineIndex:
         rows = rows.select(F.col(text_col).alias("__text"), "__drop", *[F.col(c) for c in rest if c != text_col])
         kept = [docs.schema[c] for c in rest if c != text_col]
         schema = T.StructType([*kept, *(T.StructField(n, T.LongType() if t == "long" else T.StringType()) for n, t in zip(("n_lines", "n_dropped", "kept_sha256", "kept_text"), _CUT_TYPES, strict=True))])
-        return rows.mapInArrow(_cutter(None), schema)
+        return in_small_batches(rows).mapInArrow(_cut, schema)

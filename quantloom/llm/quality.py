@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quantloom.llm._common import raw
+from quantloom.llm._common import in_small_batches, raw
 
 WIDTH, DIM, FILTERS, CHUNK = 5, 6, 16, 256
 TRAIN_DOCS, TRAIN_BYTES = 2400, 8 << 20
@@ -193,4 +193,4 @@ def classify(docs: DataFrame, net: ByteNet, text_col: str = "text") -> DataFrame
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(flat, pa.float64())], names=[*batch.schema.names, "score"])
 
     schema = T.StructType([*(docs.schema[c] for c in rest), T.StructField("score", T.DoubleType())])
-    return docs.select(*rest).mapInArrow(scored, schema)
+    return in_small_batches(docs.select(*rest)).mapInArrow(scored, schema)

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantloom.llm._common import raw, saved, table_batch
+from quantloom.llm._common import in_small_batches, raw, saved, table_batch
 
 WORDS, RADIUS, SEED = 3, 2, 42
 #: Hashes whose bits are counted at once.
@@ -67,7 +67,7 @@ def _printer(words: int):
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_printer(words), "doc_id long, fp long")
+    return in_small_batches(rows).mapInArrow(_printer(words), "doc_id long, fp long")
 
 
 def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
