@@ -26,7 +26,7 @@ def _remainder(divisor: int):
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece_codec.code(_read(spark, sf_dir, "documents"), SENTENCEPIECE_MODEL, keep=False)
+    return sentencepiece_codec.code(_read(spark, sf_dir, "documents"), SENTENCEPIECE_MODEL)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
