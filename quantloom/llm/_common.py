@@ -1,32 +1,50 @@
-"""What the training-data operators share: scratch tables, raw Arrow text, row ids.
+"""What the training-data operators share: scratch tables, raw Arrow text, row ids, joins on hot keys.
 
-Intermediate tables go to the folder the cluster names in ``spark.checkpoint.dir``
-(all executors and the driver see it), never to a machine-local folder.
+Intermediate tables go to the folder the cluster names in ``spark.checkpoint.dir`` (all
+executors and the driver see it), in a folder of the application, which :func:`release` deletes.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: ASCII white space, ``[\x20\x09-\x0D]``.
 WHITE = b" \t\n\x0b\x0c\r"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the session; a default under /tmp only where none is set (tests)."""
+    """The shared folder of the session; a default under /tmp in local mode only (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    found = found or spark.sparkContext.getCheckpointDir()
     if not found:
-        current = spark.sparkContext.getCheckpointDir()
-        found = current or "file:///tmp/quantloom-shared"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = "file:///tmp/quantloom-shared"
     return found.rstrip("/")
 
 
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/quantloom/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/quantloom/{name}-{uuid.uuid4().hex}"
+    return f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the application's intermediate tables. Results that were not written yet are lost."""
+    delete(spark, _own_dir(spark))
 
 
 def saved(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
@@ -37,16 +55,36 @@ def saved(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Rows of an Arrow batch at most: texts may be long, and a worker holds a batch several times over.
+#: Rows a Python worker takes apart at once. Spark bounds an Arrow batch in bytes; this bounds its copies.
 BATCH_ROWS = 1000
+Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
 
+def small(work: Work) -> Work:
+    """``work`` on slices of BATCH_ROWS rows at most."""
 
-def in_small_batches(df: DataFrame) -> DataFrame:
-    """``df``, after the session's Arrow batches were lowered to BATCH_ROWS rows where they are larger."""
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
-        conf.set(key, BATCH_ROWS)
-    return df
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return work(b.slice(k, BATCH_ROWS) for b in batches for k in range(0, max(1, b.num_rows), BATCH_ROWS))
+
+    return sliced
+
+
+#: A key with more than this part of all rows is hot, so there are HOT_PART hot keys at most.
+HOT_PART = 4096
+
+
+def joined(rows: DataFrame, table: DataFrame, keys: Sequence[str], n: str, total: int) -> DataFrame:
+    """``rows`` inner joined to ``table``, which has each key once and in ``n`` how many rows hold it.
+
+    Hot keys, of which there are HOT_PART at most, are broadcast, so that their rows stay where
+    they are; the rest are shuffled. Column ``n`` is left out. Both inputs are read twice: save
+    them first.
+    """
+    keys = list(keys)
+    hot = table.where(F.col(n) > max(1, total // HOT_PART)).drop(n).limit(HOT_PART)
+    cold = table.where(F.col(n) <= max(1, total // HOT_PART)).drop(n)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return rows.join(F.broadcast(hot), keys).unionByName(rest.join(cold, keys))
 
 
 def raw(column: pa.Array) -> list[bytes | None]:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantloom.llm._common import WHITE, in_small_batches, partitions_for, raw, row_base, saved, table_batch
+from quantloom.llm._common import WHITE, partitions_for, raw, row_base, saved, small, table_batch
 
 #: A task's table is flushed when it holds this many bytes of content.
 FLUSH_BYTES = 24 << 20
@@ -171,7 +171,7 @@ def _planned(reps: DataFrame, bucket_bytes: int) -> tuple[DataFrame, int]:
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.length(text_col).cast("long").alias("n"))
-    links = saved(in_small_batches(rows).mapInArrow(_local_groups, _LINKS_DDL), "grace-links")
+    links = saved(rows.mapInArrow(small(_local_groups), _LINKS_DDL), "grace-links")
     reps = links.where(F.col("content").isNotNull())
     planned, first = _planned(reps, bucket_bytes)
     buckets = planned.select("path", "rep", "digest", "content", "size", "best_n", "best_id", "best_row").repartition(first, "path").sortWithinPartitions("path")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from quantloom.llm._common import in_small_batches
+from quantloom.llm._common import small
 
 # Names of the HTML standard, and words that page authors use for page furniture.
 _BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul caption option".split())
@@ -286,4 +286,4 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """``pages`` without html, with text and n_chars (which replace columns of these names)."""
     rest = [c for c in pages.columns if c not in {"text", "n_chars", html_col}]
     schema = T.StructType([*(pages.schema[c] for c in rest), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
-    return in_small_batches(pages.select(*rest, html_col)).mapInArrow(_extract(len(rest)), schema)
+    return pages.select(*rest, html_col).mapInArrow(small(_extract(len(rest))), schema)

@@ -5,19 +5,23 @@ is parsed greedily into longest matches against each automaton; the language tha
 fewest phrases, normalised by text length and by the automaton's size, wins:
 ``cost = phrases * log2(training characters) / characters``.
 
-The automata are laid out as total tables (state, character) -> state, with a bit that says
-whether a phrase starts, and texts are parsed side by side in lanes of ``BLOCK`` characters, the
-whole text of every document. A lane starts a phrase afresh, for all languages alike.
+An automaton's edges lie in one open-addressing table, (state, character) -> state, so its size
+follows the training text and not the alphabet. Texts are parsed side by side in lanes of
+``BLOCK`` characters, each as if a phrase began with it. Then each lane is parsed again from the
+state in which the lane before ended, until both parses begin a phrase at the same place, from
+where they are one; a lane in which that doesn't happen passes its own end state on. The phrases
+are those of the whole text.
 
-Characters are lower-cased; runs of non-letters count as one space; letters that no training
-text has are phrases by themselves. Training text: at most ``TRAIN_DOCS`` whole documents and about
-``TRAIN_CHARS`` characters a language, those with the smallest hash of their id; a document
-longer than that is used only where a language has no shorter one.
+Characters are lower-cased; runs of non-letters count as one space; a letter that a language's
+training text doesn't have is a phrase by itself there. Training text: ``TRAIN_DOCS`` whole
+documents a language at most (a parameter of :func:`learn`), those with the smallest hash of
+their id; rows that repeat id and text count as one.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; of languages with
 equal cost the first by name wins; with one language learned the score is 1; without any, all
-texts are ``und``; repeated rows each get their row; an empty table gives no rows. The score is
-second best cost / (best + second best), between 0.5 and 1.
+texts are ``und``; very long texts are parsed whole; repeated rows each get their row; an empty
+table gives no rows; columns named lang_pred and score are replaced, others pass through. Ids of
+any type will do. The score is second best cost / (best + second best), between 0.5 and 1.
 """
 
 from __future__ import annotations
@@ -34,12 +38,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from quantloom.llm._common import in_small_batches, table_batch
+from quantloom.llm._common import small, table_batch
 
-TRAIN_DOCS, TRAIN_CHARS = 40, 20_000
+TRAIN_DOCS = 40
 BLOCK = 512
-#: Characters that are laid out in lanes at once.
-SLAB = 8 << 20
+#: Characters that are laid out in lanes at once; a longer text is laid out alone.
+SLAB = 4 << 20
 UNKNOWN = "und"
 _SPACE, _STRANGE, _FIRST = 0, 1, 2
 
@@ -74,21 +78,91 @@ class SuffixAutomaton:
                     links[q] = links[at] = twin
             last = at
 
-    def table(self, width: int) -> np.ndarray:
-        """Total table: 2 * (next state * width) + (1 if a phrase starts with this character).
-
-        The last state is where a text starts and where a character that no training text has
-        leads: from there every character starts a phrase.
-        """
-        start = len(self.edges)
-        fresh = np.full(width, 2 * start * width + 1, np.int64)
-        for c, to in self.edges[0].items():
-            fresh[c] = 2 * to * width + 1
-        out = np.tile(fresh, (start + 1, 1))
-        for state, own in enumerate(self.edges):
-            for c, to in own.items():
-                out[state, c] = 2 * to * width
-        return out
+
+class Edges:
+    """An automaton's edges by open addressing. State ``start`` has none: there a phrase begins."""
+
+    _FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, automaton: SuffixAutomaton, width: int):
+        states = automaton.edges
+        self.width, self.start = width, len(states)
+        n = sum(map(len, states))
+        keys = np.fromiter((s * width + c for s, own in enumerate(states) for c in own), np.int64, n)
+        to = np.fromiter((t for own in states for t in own.values()), np.int32, n)
+        bits = max(4, (2 * n).bit_length())
+        self._mask, self._shift = (1 << bits) - 1, np.uint64(64 - bits)
+        self._keys, self._to = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+        left, slots = np.arange(n), self._slots(keys)
+        while len(left):
+            free = self._keys[slots] < 0
+            taken, first = np.unique(slots[free], return_index=True)
+            placed = np.flatnonzero(free)[first]
+            self._keys[taken], self._to[taken] = keys[left[placed]], to[left[placed]]
+            rest = np.ones(len(left), bool)
+            rest[placed] = False
+            left, slots = left[rest], (slots[rest] + 1) & self._mask
+        #: Where a phrase that begins with a character leads; ``start`` if no training text has it.
+        self.root = np.full(width, self.start, np.int32)
+        for c, t in states[0].items():
+            self.root[c] = t
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * self._FACTOR) >> self._shift).astype(np.int64)
+
+    def step(self, states: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next states, and whether a phrase begins with the character."""
+        keys = states.astype(np.int64) * self.width + codes
+        slots = self._slots(keys)
+        found = self._keys[slots]
+        going = np.flatnonzero((found != keys) & (found >= 0))
+        while len(going):
+            slots[going] = (slots[going] + 1) & self._mask
+            found[going] = self._keys[slots[going]]
+            going = going[(found[going] != keys[going]) & (found[going] >= 0)]
+        missed = found != keys
+        return np.where(missed, self.root[codes], self._to[slots]), missed
+
+    def begins(self, whole: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Of each character of the texts, which lie side by side, whether a phrase begins with it."""
+        lanes = -(-sizes // BLOCK)
+        within = np.arange(lanes.sum()) - np.repeat(np.cumsum(lanes) - lanes, lanes)
+        begin = np.repeat(np.cumsum(sizes) - sizes, lanes) + within * BLOCK
+        length = np.minimum(BLOCK, np.repeat(sizes, lanes) - within * BLOCK)
+        marks = np.zeros(len(whole), bool)
+        ends = np.full(len(begin), self.start, np.int32)
+
+        order = np.argsort(-length, kind="stable")
+        at, state = begin[order], np.full(len(order), self.start, np.int32)
+        alive = np.searchsorted(-length[order], -np.arange(BLOCK), side="left")
+        for t in range(BLOCK):
+            k = alive[t]
+            if not k:
+                break
+            state[:k], marks[at[:k] + t] = self.step(state[:k], whole[at[:k] + t])
+        ends[order] = state
+
+        # Lanes that follow another of their text, from where that one ended.
+        lane = np.flatnonzero(within > 0)
+        while len(lane):
+            state, open_ = ends[lane - 1], np.arange(len(lane))
+            done = np.zeros(len(lane), bool)
+            for t in range(BLOCK):
+                open_ = open_[length[lane[open_]] > t]
+                if not len(open_):
+                    break
+                here = begin[lane[open_]] + t
+                state[open_], begun = self.step(state[open_], whole[here])
+                met = begun & marks[here]
+                marks[here] = begun
+                done[open_[met]] = True
+                open_ = open_[~met]
+            # Lanes without a common place: what they end in goes on to the next lane.
+            ends[lane[~done]] = state[~done]
+            after = lane[~done] + 1
+            after = after[after < len(begin)]
+            lane = after[within[after] > 0]
+        return marks
 
 
 class Model:
@@ -96,59 +170,34 @@ class Model:
 
     def __init__(self, texts: tuple[tuple[str, str], ...]):
         self.languages = [name for name, _ in texts]
-        letters = sorted({c for _, t in texts for c in t.lower() if c.isalpha()})[: 255 - _FIRST]
-        own = {c: k + _FIRST for k, c in enumerate(letters)}
+        letters = np.unique(np.concatenate([_lowered(t) for _, t in texts] or [np.zeros(0, np.uint32)]))
+        letters = letters[letters > 0]
         self.width = len(letters) + _FIRST
-        codes = np.zeros(sys.maxunicode + 1, np.uint8)
-        for point in range(sys.maxunicode + 1):
-            c = chr(point)
-            if c.isalpha():
-                codes[point] = own.get(c) or own.get(c.lower(), _STRANGE)
-        self._codes = codes
-        tables, starts, weights = [], [], []
-        at = 0
+        self._codes = np.full(sys.maxunicode + 1, _STRANGE, np.uint32)
+        self._codes[0] = _SPACE
+        self._codes[letters] = np.arange(len(letters)) + _FIRST
+        self._edges, weights = [], []
         for _, text in texts:
             trained = self.codes(text).tolist()
-            table = SuffixAutomaton(trained).table(self.width)
-            tables.append((table + 2 * at).ravel())
-            starts.append(at + table.size - self.width)
+            self._edges.append(Edges(SuffixAutomaton(trained), self.width))
             weights.append(math.log2(max(2, len(trained))))
-            at += table.size
-        self._table = np.concatenate(tables).astype(np.int32) if tables else np.zeros(0, np.int32)
-        self._starts = np.array(starts, np.int32)[:, None]
         self._weights = np.array(weights)
 
     def codes(self, text: str) -> np.ndarray:
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        own = self._codes[points]
+        own = self._codes[_lowered(text)]
         keep = own != _SPACE
         keep[1:] |= own[:-1] != _SPACE
         return own[keep]
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """(languages, texts) numbers of phrases."""
-        whole = np.concatenate(texts) if texts else np.zeros(0, np.uint8)
+        whole = np.concatenate(texts) if texts else np.zeros(0, np.uint32)
         sizes = np.array([len(t) for t in texts], np.int64)
-        lanes = -(-sizes // BLOCK)
-        owner = np.repeat(np.arange(len(texts)), lanes)
-        within = np.arange(len(owner)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
-        begin = np.repeat(np.cumsum(sizes) - sizes, lanes) + within * BLOCK
-        length = np.minimum(BLOCK, np.repeat(sizes, lanes) - within * BLOCK)
-        order = np.argsort(-length, kind="stable")
-        begin, length = begin[order], length[order]
-        state = np.repeat(self._starts, len(order), axis=1)
-        begun = np.zeros_like(state)
-        alive = np.searchsorted(-length, -np.arange(BLOCK), side="left")
-        for t in range(BLOCK):
-            k = alive[t]
-            if not k:
-                break
-            moved = self._table[state[:, :k] + whole[begin[:k] + t]]
-            begun[:, :k] += moved & 1
-            state[:, :k] = moved >> 1
+        ends = np.cumsum(sizes)
         out = np.zeros((len(self.languages), len(texts)), np.int64)
-        for i in range(len(self.languages)):
-            out[i] = np.bincount(owner[order], weights=begun[i], minlength=len(texts))
+        for i, edges in enumerate(self._edges):
+            total = np.concatenate([[0], np.cumsum(edges.begins(whole, sizes))])
+            out[i] = total[ends] - total[ends - sizes]
         return out
 
     def judge(self, texts: list[str | None]) -> Iterator[tuple[str, float]]:
@@ -177,31 +226,41 @@ class Model:
                 yield self.languages[order[0, k]], 1.0 if math.isinf(second[k]) else float(second[k] / (best[k] + second[k]))
 
 
+@functools.lru_cache(maxsize=1)
+def _lower_points() -> np.ndarray:
+    """Of each code point its lower-case letter (itself where that is more than one), 0 if it is none."""
+    out = np.zeros(sys.maxunicode + 1, np.uint32)
+    for point in range(sys.maxunicode + 1):
+        c = chr(point)
+        if c.isalpha():
+            low = c.lower()
+            out[point] = ord(low) if len(low) == 1 else point
+    return out
+
+
+def _lowered(text: str) -> np.ndarray:
+    return _lower_points()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+
+
 @functools.lru_cache(maxsize=4)
 def model_of(texts: tuple[tuple[str, str], ...]) -> Model:
     return Model(texts)
 
 
-def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[tuple[str, str], ...]:
-    """(language, training text), sorted; the bounded sample is described above."""
-    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col)).alias("h"), F.length(text_col).alias("n"), F.col(text_col).alias("text"))
-    first = Window.partitionBy("lang").orderBy(F.col("n") > TRAIN_CHARS, "h", "n")
-    picked = rows.select("lang", "h", "n").withColumn("r", F.row_number().over(first)).where(F.col("r") <= TRAIN_DOCS)
-    picks = {(r["lang"], r["h"], r["n"]): r["r"] for r in picked.collect()}
-    if not picks:
-        return ()
-    texts: dict[str, dict[int, str]] = {}
-    for r in rows.where(F.col("h").isin([h for _, h, _ in picks])).collect():
-        if (rank := picks.get((r["lang"], r["h"], r["n"]))) is not None:
-            texts.setdefault(r["lang"], {})[rank] = r["text"]
-    out = []
-    for lang, by_rank in sorted(texts.items()):
-        parts: list[str] = []
-        for _, text in sorted(by_rank.items()):
-            if not parts or sum(map(len, parts)) + len(text) <= TRAIN_CHARS:
-                parts.append(text)
-        out.append((lang, " ".join(parts)))
-    return tuple(out)
+def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs: int = TRAIN_DOCS) -> tuple[tuple[str, str], ...]:
+    """(language, training text), sorted; at most ``docs`` whole documents of each language."""
+    usable = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
+    keys = ["lang", "h", "d"]
+    rows = usable.select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col)).alias("h"), F.xxhash64(text_col).alias("d"), F.col(text_col).alias("text"))
+    # Spark keeps the first rows of each language in every task before it shuffles them.
+    first = Window.partitionBy("lang").orderBy("h", "d")
+    picked = rows.select(*keys).distinct().withColumn("__r", F.row_number().over(first)).where(F.col("__r") <= docs)
+    # A row per language and document: ``docs`` a language.
+    held = rows.join(F.broadcast(picked), keys).groupBy(*keys).agg(F.first("text").alias("text")).collect()
+    texts: dict[str, list[str]] = {}
+    for r in sorted(held, key=lambda r: (r["lang"], r["h"], r["d"])):
+        texts.setdefault(r["lang"], []).append(r["text"])
+    return tuple((lang, " ".join(parts)) for lang, parts in sorted(texts.items()))
 
 
 _OUT = pa.schema([("lang_pred", pa.string()), ("score", pa.float64())])
@@ -220,4 +279,4 @@ def predict(docs: DataFrame, learned: tuple[tuple[str, str], ...], text_col: str
             yield pa.RecordBatch.from_arrays([*batch.columns, *added.columns], names=[*batch.schema.names, *_OUT.names])
 
     schema = T.StructType([*(docs.schema[c] for c in rest), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return in_small_batches(docs.select(*rest)).mapInArrow(judged, schema)
+    return docs.select(*rest).mapInArrow(small(judged), schema)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quantloom.llm._common import WHITE, in_small_batches, partitions_for, raw, saved, table_batch
+from quantloom.llm._common import WHITE, partitions_for, raw, saved, small, table_batch
 
 MIN_POINTS, MIN_DOCS = 20, 3
 #: Keys a shard holds on average: bounds a task's memory (about 60 MB of Python objects).
@@ -277,7 +277,7 @@ class LineIndex:
     @staticmethod
     def _posted(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-        return in_small_batches(rows).mapInArrow(_post, "digest binary, doc_id long").dropDuplicates(["digest", "doc_id"])
+        return rows.mapInArrow(small(_post), "digest binary, doc_id long").dropDuplicates(["digest", "doc_id"])
 
     @classmethod
     def build(cls, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LineIndex:
@@ -328,4 +328,4 @@ class LineIndex:
         rows = rows.select(F.col(text_col).alias("__text"), "__drop", *[F.col(c) for c in rest if c != text_col])
         kept = [docs.schema[c] for c in rest if c != text_col]
         schema = T.StructType([*kept, *(T.StructField(n, T.LongType() if t == "long" else T.StringType()) for n, t in zip(("n_lines", "n_dropped", "kept_sha256", "kept_text"), _CUT_TYPES, strict=True))])
-        return in_small_batches(rows).mapInArrow(_cut, schema)
+        return rows.mapInArrow(small(_cut), schema)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quantloom.llm._common import ids_by_chunk, in_small_batches, partitions_for, saved, table_batch
+from quantloom.llm._common import ids_by_chunk, partitions_for, saved, small, table_batch
 
 WINDOW, GRAIN, TIERS = 1024, 64, (1024, 512, 256, 128, 64)
 STEP_WINDOWS = 256
@@ -186,7 +186,7 @@ def _cutter(path: str, end_id: int, with_ids: bool):
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """A row per piece; with ``with_ids`` also its ids (little-endian unsigned 32-bit)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return in_small_batches(rows).mapInArrow(_cutter(tokenizer, end_id, with_ids), _PIECES_DDL + (", ids binary" if with_ids else ""))
+    return rows.mapInArrow(small(_cutter(tokenizer, end_id, with_ids)), _PIECES_DDL + (", ids binary" if with_ids else ""))
 
 
 def plan(counts: dict[int, int]) -> tuple[list[tuple[int, int, int, int, int, int]], int]:

@@ -8,12 +8,15 @@ one probability. Embedding times filter is folded into ``WIDTH`` tables of 256 r
 scoring is table look-ups and sums; since pooling passes gradients to the largest positions
 only, training touches few positions.
 
-Training uses at most ``TRAIN_DOCS`` labelled documents (those with the smallest hash of their
-id) and ``TRAIN_BYTES`` bytes of whole texts, on the driver.
+Training uses at most ``TRAIN_DOCS`` rows of labels (a parameter of :func:`learn`), those with
+the smallest hash of their id, with the whole texts of their documents, on the driver.
 
 Defined cases: a null text counts as empty; an empty text is one window of padding and gets a
-score; labels that are null or not 0 or 1 are not used, several labels of a document all are;
-without labels every score is 0.5; repeated rows each get their row; an empty table gives none.
+score; very long texts are trained on and scored whole; labels that are null or not 0 or 1 are
+not used, a repeated label counts once, two different labels of a document both count; of
+several texts under one id the one with the smallest hash is trained on; without labels every
+score is 0.5; repeated rows each get their row; an empty table gives none; a column named score
+is replaced, others pass through. Ids of any type will do.
 """
 
 from __future__ import annotations
@@ -26,10 +29,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quantloom.llm._common import in_small_batches, raw
+from quantloom.llm._common import raw, small
 
 WIDTH, DIM, FILTERS, CHUNK = 5, 6, 16, 256
-TRAIN_DOCS, TRAIN_BYTES = 2400, 8 << 20
+TRAIN_DOCS = 2400
 EPOCHS, BATCH, RATE, SEED = 10, 24, 0.01, 5
 THRESHOLD = 0.3
 _HALF = CHUNK // 2
@@ -156,21 +159,16 @@ def train(texts: list[bytes], wanted: np.ndarray, epochs: int = EPOCHS, seed: in
     return net
 
 
-def learn(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> ByteNet:
-    """Train on the bounded sample of ``labels`` rows that ``usable`` (over ``id_col``) allows."""
-    own = labels.where(usable & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("label"))
-    picked = own.orderBy(F.xxhash64("__id"), "__id", "label").limit(TRAIN_DOCS)
+def learn(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = TRAIN_DOCS) -> ByteNet:
+    """Train on at most ``rows`` rows of ``labels`` that ``usable`` (over ``id_col``) allows."""
+    own = labels.where(usable & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("label")).distinct()
+    picked = own.orderBy(F.xxhash64("__id"), "__id", "label").limit(rows)
     texts = docs.select(F.col(id_col).alias("__doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    # picked has at most TRAIN_DOCS rows, so it may be broadcast.
-    joined = texts.join(F.broadcast(picked), F.col("__doc") == F.col("__id")).select("__id", "label", "text", F.octet_length("text").alias("n"))
-    sizes = joined.select("__id", "n").distinct().orderBy(F.xxhash64("__id"), "__id", "n").collect()
-    held, total = set(), 0
-    for r in sizes:
-        if total + r["n"] <= TRAIN_BYTES:
-            held.add(r["__id"])
-            total += r["n"]
-    rows = sorted((r["__id"], r["label"], r["text"]) for r in joined.where(F.col("__id").isin(list(held))).collect()) if held else []
-    return train([t.encode() for _, _, t in rows], np.array([y for _, y, _ in rows], np.float32))
+    # At most ``rows`` rows are broadcast, and as many texts come back, however often an id is repeated.
+    joined = texts.join(F.broadcast(picked), F.col("__doc") == F.col("__id"))
+    held = joined.groupBy("__id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).collect()
+    held.sort(key=lambda r: (r["__id"], r["label"]))
+    return train([r["text"].encode() for r in held], np.array([r["label"] for r in held], np.float32))
 
 
 def classify(docs: DataFrame, net: ByteNet, text_col: str = "text") -> DataFrame:
@@ -193,4 +191,4 @@ def classify(docs: DataFrame, net: ByteNet, text_col: str = "text") -> DataFrame
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(flat, pa.float64())], names=[*batch.schema.names, "score"])
 
     schema = T.StructType([*(docs.schema[c] for c in rest), T.StructField("score", T.DoubleType())])
-    return in_small_batches(docs.select(*rest)).mapInArrow(scored, schema)
+    return docs.select(*rest).mapInArrow(small(scored), schema)

@@ -36,7 +36,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secret_scan.scan(docs, secret_scan.BlobLedger(spark))
+    found = secret_scan.scan(docs, secret_scan.ledger(spark))
     count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     listed = F.array_join(F.transform("found", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans"))

@@ -10,16 +10,20 @@ Spark's regular expressions give no positions. The pieces between matches (``spl
 matches (``regexp_extract_all``) do: a match starts where the pieces and matches before it end.
 Positions count code points; ends are exclusive.
 
-Defined cases: a null text counts as empty and has no findings; rows that repeat keep a row
-each; equal texts share a blob; an empty table gives no rows; further columns are ignored by
-:func:`scan` and kept by :func:`redact`.
+Sums run over pieces in chunks of ``CHUNK``, so that no array grows by one a match, and texts are
+put together again from runs of characters: time follows the text, however many matches it has.
+
+Defined cases: a null text counts as empty and has no findings; very long texts are scanned
+whole; rows that repeat keep a row each; equal texts share a blob; an empty table gives no rows;
+further columns are ignored by :func:`scan` and kept by :func:`redact`, whatever their names
+(but for those beginning with two underscores). Ids of any type will do.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -50,29 +54,53 @@ RULES = (
 
 ENDS = "array<struct<start:int,end:int>>"
 LEDGER = "blob string, rule string, version int, spans array<struct<start:int,end:int>>"
+_STEPS = "array<struct<gap:int,size:int,judged:int>>"
+#: Matches that one running sum goes over.
+CHUNK = 128
+#: A session's setting that names a ledger to keep; without it a scan has a ledger of its own.
+LEDGER_SETTING = "spark.quantloom.secret.ledger"
 
 
 def _none(kind: str) -> Column:
     return F.array().cast(kind)
 
 
-def spans(text: Column, rule: Rule) -> Column:
-    """array<struct<start, end>> of the leftmost, non-overlapping matches of ``rule``."""
+def _steps(text: Column, rule: Rule) -> Column:
+    """For each match the length of the piece before it, of itself and of what is judged; few texts have any."""
     pattern = F.lit(rule.pattern)
     whole = F.regexp_extract_all(text, pattern, F.lit(0))
     judged = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else whole
-    steps = F.zip_with(F.split(text, rule.pattern, -1), F.arrays_zip(whole.alias("whole"), judged.alias("judged")), lambda gap, m: F.struct(F.length(gap).alias("gap"), F.length(m["whole"]).alias("size"), F.length(m["judged"]).alias("judged")))
-    walked = F.aggregate(
-        F.filter(steps, lambda s: s["size"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), _none(ENDS).alias("found")),
+    sized = F.zip_with(F.split(text, rule.pattern, -1), F.arrays_zip(whole.alias("whole"), judged.alias("judged")), lambda gap, m: F.struct(F.length(gap).alias("gap"), F.length(m["whole"]).alias("size"), F.length(m["judged"]).alias("judged")))
+    return F.when(text.rlike(rule.pattern), F.filter(sized, lambda s: s["size"].isNotNull())).otherwise(_none(_STEPS))
+
+
+def _chunks(steps: Column) -> Column:
+    return F.when(F.size(steps) > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / CHUNK).cast("int")), lambda k: F.slice(steps, k * CHUNK + 1, CHUNK))).otherwise(_none(f"array<{_STEPS}>"))
+
+
+def _bases(chunks: Column) -> Column:
+    """Where each chunk begins, and at last where the last one ends."""
+    sums = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda at, s: at + s["gap"] + s["size"]))
+    return F.aggregate(sums, F.array(F.lit(0)), lambda ends, n: F.concat(ends, F.array(F.element_at(ends, -1) + n)))
+
+
+def _spans(chunks: Column, bases: Column, least: int) -> Column:
+    """array<struct<start, end>> of the matches that are long enough."""
+    placed = lambda c, base: F.aggregate(
+        c,
+        F.struct(base.alias("at"), _none(ENDS).alias("found")),
         lambda acc, s: F.struct(
             (acc["at"] + s["gap"] + s["size"]).alias("at"),
-            F.when(s["judged"] >= rule.least, F.concat(acc["found"], F.array(F.struct((acc["at"] + s["gap"]).alias("start"), (acc["at"] + s["gap"] + s["size"]).alias("end"))))).otherwise(acc["found"]).alias("found"),
+            F.when(s["judged"] >= least, F.concat(acc["found"], F.array(F.struct((acc["at"] + s["gap"]).alias("start"), (acc["at"] + s["gap"] + s["size"]).alias("end"))))).otherwise(acc["found"]).alias("found"),
         ),
         lambda acc: acc["found"],
     )
-    # Few texts have a match, and only they are taken apart.
-    return F.when(text.rlike(rule.pattern), walked).otherwise(_none(ENDS))
+    return F.flatten(F.zip_with(chunks, F.slice(bases, F.lit(1), F.size(chunks)), placed))
+
+
+def ledger(spark: SparkSession) -> BlobLedger:
+    """The ledger that LEDGER_SETTING names, else a new one."""
+    return BlobLedger(spark, spark.conf.get(LEDGER_SETTING, None))
 
 
 class BlobLedger:
@@ -98,8 +126,12 @@ class BlobLedger:
             open_to = {r: ~F.coalesce(F.array_contains("__seen", r.key), F.lit(False)) for r in rules}
         else:
             open_to = {r: F.lit(True) for r in rules}
-        scanned = F.array(*(F.when(open_to[r], F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version"), spans(F.col("text"), r).alias("spans"))) for r in rules))
-        fresh = blobs.select("blob", F.inline(F.array_compact(scanned)))
+        names = [str(k) for k in range(len(rules))]
+        # Each step is a column of its own, so that it is computed once.
+        fresh = blobs.withColumns({f"__s{k}": F.when(open_to[r], _steps(F.col("text"), r)) for k, r in zip(names, rules, strict=True)})
+        fresh = fresh.withColumns({f"__c{k}": _chunks(F.col(f"__s{k}")) for k in names}).withColumns({f"__b{k}": _bases(F.col(f"__c{k}")) for k in names})
+        scanned = F.array(*(F.when(F.col(f"__s{k}").isNotNull(), F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version"), _spans(F.col(f"__c{k}"), F.col(f"__b{k}"), r.least).alias("spans"))) for k, r in zip(names, rules, strict=True)))
+        fresh = fresh.select("blob", F.inline(F.array_compact(scanned)))
         fresh.write.mode("append").parquet(self.path)
         return self.read()
 
@@ -112,10 +144,11 @@ def _paths(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def findings(docs: DataFrame, ledger: BlobLedger, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(blob, found) for the blobs of ``docs`` that have findings; found: array<struct<start, kind_at, end, kind>> by start, then kind."""
     rows = _paths(docs, id_col, text_col)
-    known = ledger.update(rows.select("blob", "text").dropDuplicates(["blob"]), rules)
+    blobs = rows.select("blob", "text").dropDuplicates(["blob"])
+    known = ledger.update(blobs, rules)
     wanted = F.array(*(F.lit(r.key) for r in rules))
     order = F.array(*(F.lit(r.kind) for r in rules))
-    hits = known.where(F.array_contains(wanted, F.concat_ws("@", "rule", "version")) & (F.size("spans") > 0)).dropDuplicates(["blob", "rule", "version"])
+    hits = known.where(F.array_contains(wanted, F.concat_ws("@", "rule", "version")) & (F.size("spans") > 0)).join(rows.select("blob").distinct(), "blob", "left_semi").dropDuplicates(["blob", "rule", "version"])
     each = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.array_position(order, F.col("rule")).alias("kind_at"), s["end"].alias("end"), F.col("rule").alias("kind")))
     return hits.select("blob", each.alias("found")).groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("found"))).alias("found"))
 
@@ -127,18 +160,23 @@ def scan(docs: DataFrame, ledger: BlobLedger, id_col: str = "doc_id", text_col:
     return paths.join(found, "blob", "left").select("doc_id", "blob", F.coalesce("found", _none("array<struct<start:int,kind_at:bigint,end:int,kind:string>>")).alias("found"))
 
 
+def _runs(found: DataFrame) -> DataFrame:
+    """(blob, found) -> (blob, runs): runs of overlapping spans with the end of the run before, in order."""
+    each = found.select("blob", F.posexplode("found").alias("k", "s")).select("blob", "k", "s.start", "s.end")
+    order = Window.partitionBy("blob").orderBy("k")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    new = each.withColumn("__before", F.coalesce(before, F.lit(0))).withColumn("run", F.count_if((F.col("__before") <= F.col("start"))).over(order))
+    run = new.groupBy("blob", "run").agg(F.min("__before").alias("since"), F.min("start").alias("start"), F.max("end").alias("end"))
+    return run.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("since", "start", "end"))).alias("runs"))
+
+
 def redact(docs: DataFrame, ledger: BlobLedger, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with each run of overlapping spans replaced by ``mark``; clean texts stay as they are, null too."""
-    found = findings(docs, ledger, id_col, text_col, rules).withColumnsRenamed({"blob": "__blob", "found": "__found"})
-    keyed = docs.withColumn("__key", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).join(found, F.col("__key") == F.col("__blob"), "left")
-    text = F.col(text_col)
-    walked = F.aggregate(
-        "__found",
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(s["start"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).alias("out"),
-        ),
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
-    )
-    return keyed.withColumn(text_col, F.when(F.col("__found").isNull(), text).otherwise(walked)).select(*docs.columns)
+    runs = _runs(findings(docs, ledger, id_col, text_col, rules)).withColumnsRenamed({"blob": "__blob", "runs": "__runs"})
+    keyed = docs.withColumn("__key", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).join(runs, F.col("__key") == F.col("__blob"), "left")
+    # The characters are a column of their own, read twice below: they are split once.
+    keyed = keyed.withColumn("__chars", F.when(F.col("__runs").isNotNull(), F.split(F.col(text_col), "")))
+    part = lambda start, end: F.array_join(F.slice("__chars", start + 1, end - start), "")
+    cleared = F.array_join(F.transform("__runs", lambda r: F.concat(part(r["since"], r["start"]), F.lit(mark))), "")
+    tail = part(F.element_at("__runs", -1)["end"], F.size("__chars"))
+    return keyed.withColumn(text_col, F.when(F.col("__runs").isNull(), F.col(text_col)).otherwise(F.concat(cleared, tail))).select(*docs.columns)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantloom.llm._common import ids_by_chunk, in_small_batches, table_batch
+from quantloom.llm._common import ids_by_chunk, small, table_batch
 
 SPACE = "▁"
 THREADS = 2
@@ -339,4 +339,4 @@ def code(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "t
     """One row per document: doc_id, [ids,] n_ids, ids_crc32, [decoded,] round_trip."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ddl = "doc_id long, ids binary, n_ids long, ids_crc32 long, decoded string, round_trip boolean" if keep else "doc_id long, n_ids long, ids_crc32 long, round_trip boolean"
-    return in_small_batches(rows).mapInArrow(_coder(model, threads, keep), ddl)
+    return rows.mapInArrow(small(_coder(model, threads, keep)), ddl)

@@ -166,7 +166,31 @@ def test_links_find_all_pairs(spark):
         got = {(r.a, r.b) for r in simhash.links(spark.createDataFrame([(x,) for x in signed], "fp long"), radius).collect()}
         wanted = {(a, b) for a in signed for b in signed if a < b and bin((a ^ b) & (1 << 64) - 1).count("1") <= radius}
         assert got == wanted
+        crowded = {(r.a, r.b) for r in simhash.links(spark.createDataFrame([(x,) for x in signed], "fp long"), radius, half_most=2).collect()}
+        assert crowded == wanted
+    # many fingerprints that share a half
+    half = [(7 << 32) + k for k in range(200)]
+    got = simhash.links(spark.createDataFrame([(x,) for x in half], "fp long"), 2, half_most=50).count()
+    assert got == sum(bin(a ^ b).count("1") <= 2 for a in half for b in half if a < b)
     # a chain longer than any radius is one component
     chain = [(1 << k) - 1 for k in range(60)]
     edges = spark.createDataFrame([(a, b) for a, b in zip(chain, chain[1:])], "a long, b long")
     assert {r.root for r in simhash.components(edges).collect()} == {0}
+
+def test_near_firsts_lose_no_group(spark):
+    """Rows are told apart by id and text: repeated and null ids lose nothing."""
+    words = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
+    rows = [(None, words(1)), (None, words(2)), (5, words(3)), (5, words(4)), (5, words(4)), (6, words(4)), (None, words(3)), (1, ""), (2, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r.doc_id, r.text) for r in simhash.keep_firsts(df).collect()), key=repr)
+    assert kept == sorted([(None, words(1)), (None, words(2)), (5, words(3)), (5, words(4)), (1, "")], key=repr)
+
+
+def test_hot_keys_join_like_others(spark, monkeypatch):
+    from quantloom.llm import _common
+
+    monkeypatch.setattr(_common, "HOT_PART", 4)
+    rows = spark.createDataFrame([(k % 3 if k < 90 else k, k) for k in range(100)], "key long, row long")
+    table = rows.groupBy("key").count().withColumnRenamed("count", "n")
+    got = _common.joined(rows, table.selectExpr("key", "n", "key * 10 AS ten"), ["key"], "n", 100)
+    assert sorted((r.key, r.row, r.ten) for r in got.collect()) == sorted((r.key, r.row, r.key * 10) for r in rows.collect()) and got.columns == ["key", "row", "ten"]

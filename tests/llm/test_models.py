@@ -1,5 +1,6 @@
 """Language ID, quality and HTML extraction: brute force, held-out accuracy, fixtures."""
 
+import re
 import zlib
 
 import numpy as np
@@ -14,29 +15,76 @@ SF = "/root/testdata/sf0.01"
 
 
 def brute_phrases(codes, trained):
-    """Greedy longest matches, block by block."""
-    n, trained = 0, bytes(trained)
-    for at in range(0, len(codes), language_id.BLOCK):
-        block, i = bytes(codes[at : at + language_id.BLOCK]), 0
-        while i < len(block):
-            j = i + 1
-            while j <= len(block) and block[i:j] in trained:
-                j += 1
-            i = max(i + 1, j - 1)
-            n += 1
+    """Greedy longest matches of the whole text."""
+    n, i, held = 0, 0, {tuple(trained[a:b]) for a in range(len(trained)) for b in range(a + 1, min(len(trained), a + 80) + 1)}
+    while i < len(codes):
+        j = i + 1
+        while j <= len(codes) and tuple(codes[i:j]) in held:
+            j += 1
+        i = max(i + 1, j - 1)
+        n += 1
     return n
 
 
 TRAIN = (("de", "der die das und nicht aber auch schön größer über allen gipfeln ist ruh"), ("en", "the and not but also over all the hills there is rest in every tree"), ("fr", "le la les et ne pas mais aussi être où il est très bien déjà"))
 
 
-def test_phrases_are_longest_matches():
+def test_phrases_are_longest_matches(monkeypatch):
+    """Of whole texts, wherever lanes end: lanes shorter than a phrase, too."""
     model = language_id.Model(TRAIN)
-    texts = ["the tree is over there", "schön und größer", "漢字 x", "", "zzz qqq " * 200, "la rest und déjà vu " * 60]
+    texts = ["the tree is over there", "schön und größer", "漢字 x", "", "zzz qqq " * 200, "la rest und déjà vu " * 60, *(t for _, t in TRAIN), "über allen gipfeln ist ruh over all the hills " * 9]
     codes = [model.codes(t) for t in texts]
-    got = model.phrases(codes)
-    for i, (_, t) in enumerate(TRAIN):
-        assert got[i].tolist() == [brute_phrases(c.tolist(), model.codes(t).tolist()) for c in codes]
+    wanted = [[brute_phrases(c.tolist(), model.codes(t).tolist()) for c in codes] for _, t in TRAIN]
+    for block in (512, 64, 7, 3):
+        monkeypatch.setattr(language_id, "BLOCK", block)
+        assert model.phrases(codes).tolist() == wanted
+
+
+def test_languages_of_many_letters():
+    """Alphabets of hundreds of letters side by side, and letters that no language was trained with."""
+    rng = np.random.default_rng(4)
+    make = lambda first, n, size: "".join(chr(first + k) if k < n else " " for k in rng.integers(0, n + n // 5, size))
+    blocks = {"am": (0x1200, 70), "yi": (0xA000, 1000), "ko": (0xAC00, 2000), "zh": (0x4E00, 3000)}
+    model = language_id.Model(tuple((k, make(*v, 30_000)) for k, v in sorted(blocks.items())))
+    for name, (first, n) in blocks.items():
+        found = list(model.judge([make(first, n, 700) for _ in range(5)]))
+        assert {x for x, _ in found} == {name} and min(s for _, s in found) > 0.5
+    assert all(s < 0.51 for _, s in model.judge(["ภาษาไทยเป็นภาษา", "русский язык"]))  # phrases by themselves in all
+
+
+def test_whole_result_of_language_id(spark):
+    """The query's lang_pred and score against plain code that parses whole texts with substring searches."""
+    sf = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    learned = language_id.learn(spark.createDataFrame([r for r in docs.values() if zlib.crc32(str(r.doc_id).encode()) % 4 != 2]))
+    plain = lambda t: re.sub(r"[\W\d_]+", " ", t or "").lower()
+    got = {r.doc_id: r for r in queries.op8_language_id(spark, sf).collect()}
+    trained = {lang: plain(t) for lang, t in learned}
+    for doc, r in docs.items():
+        text, costs = plain(r.text), []
+        if not any(c.isalpha() for c in text):
+            assert got[doc].lang_pred == "und" and got[doc].score == 0
+            continue
+        for lang, own in sorted(trained.items()):
+            i = n = 0
+            while i < len(text):
+                j, step = i + 1, 1
+                while j + step <= len(text) and text[i : j + step] in own:
+                    j, step = j + step, 1
+                i, n = j, n + 1
+            costs.append((n * np.log2(len(own)) / len(text), lang))
+        costs.sort()
+        assert got[doc].lang_pred == costs[0][1] and abs(got[doc].score - costs[1][0] / (costs[0][0] + costs[1][0])) < 1e-9
+
+
+def test_training_rows_are_bounded_by_rows_only(spark):
+    long = "lange worte und viele zeichen " * 70_000  # 2 MB
+    rows = [(k, "kurz und gut" if k else long, "de") for k in range(5)] + [(None, "ohne nummer", "de")] * 30 + [(7, "noch ein text", "de"), (7, "und ein anderer", "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    (_, text), = language_id.learn(df)
+    assert long in text and text.count("ohne nummer") == 1 and "noch ein text" in text and "und ein anderer" in text
+    (_, text), = language_id.learn(df, docs=3)
+    assert sum(map(text.count, ("kurz und gut", "ohne nummer", "noch ein text", "und ein anderer"))) + (long in text) == 3
 
 
 def test_automaton_knows_every_substring():
@@ -97,6 +145,42 @@ def test_quality_cases(spark):
     assert np.allclose(quality.train([], np.zeros(0, np.float32)).score([b"x"]), 0.5)
 
 
+def test_quality_trains_on_whole_texts_and_few_rows(spark, monkeypatch):
+    """A long labelled text is trained on, and a repeated id is one row."""
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda texts, wanted: seen.append((texts, wanted.tolist())))
+    long = "many good words " * 140_000  # 2 MB
+    docs = spark.createDataFrame([(1, long), (2, "short"), (3, None), (4, "x"), (4, "x"), (4, "y")] + [(2, "short")] * 50, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 0), (3, 1), (4, 0), (4, 1), (5, 1), (None, 1), (1, None), (2, 7)], "doc_id long, quality int")
+    quality.learn(docs, labels, F.lit(True))
+    texts, wanted = seen.pop()
+    assert texts[:3] == [long.encode(), b"short", b""] and wanted == [1, 0, 1, 0, 1] and len(texts) == 5
+    quality.learn(docs, labels, F.lit(True), rows=2)
+    assert len(seen.pop()[0]) <= 2
+
+
+def test_whole_result_of_quality(spark):
+    """The query's scores against a plain convolution with the trained weights, text by text."""
+    sf, nets = "/root/testdata/sf0.001", []
+    train = quality.train
+    try:
+        quality.train = lambda texts, wanted: nets.append(train(texts, wanted, epochs=2)) or nets[-1]
+        got = {r.doc_id: r for r in queries.op5_quality(spark, sf).collect()}
+    finally:
+        quality.train = train
+    net, docs = nets[0], spark.read.parquet(f"{sf}/documents.parquet").collect()
+    assert len(got) == len(docs)
+    for r in docs:
+        text = (r.text or "").encode()
+        flat = np.lib.stride_tricks.sliding_window_view(np.vstack([net.embed[list(text)], np.repeat(net.embed[:1], quality.WIDTH, axis=0)]), quality.WIDTH, axis=0)[: max(1, len(text))]
+        response = np.einsum("tdw,wdf->tf", flat, net.filters)
+        n_chunks = max(1, (len(text) + quality.WIDTH - 1) // 128)
+        pooled = np.array([np.maximum(response[k * 128 : k * 128 + 256].max(axis=0) + net.shift, 0) if k * 128 < len(response) else np.zeros(quality.FILTERS) for k in range(n_chunks)])
+        z = np.hstack([pooled.max(axis=0), pooled.mean(axis=0)]) @ net.out + net.bias[0]
+        assert abs(got[r.doc_id].score - 1 / (1 + np.exp(-z))) < 1e-4
+        assert got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and got[r.doc_id].predicted == int(got[r.doc_id].score >= 0.3)
+
+
 def brute_features(net, text):
     """Every window of every overlapping chunk."""
     padded = text + b"\0" * (quality.WIDTH - 1)
