@@ -119,7 +119,7 @@ def test_nearest(spark, row_block):
     rows, _ = vectors()
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumn("rank", F.lit("clash"))
     got = {}
-    for r in ann.nearest(df, F.col("vec_id") % 20 == 0, row_block=row_block, query_block=16).orderBy("query_id", "rank").collect():
+    for r in ann.nearest(df, F.col("vec_id") % 20 == 0, row_block=row_block, query_block=8 if row_block < 100 else 1024).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
     x = {k: v for k, v, _ in rows if k < 600 or k == 606}
     wanted = {q: brute_near(x, list(x), q) for q in range(0, 600, 20)}
@@ -133,13 +133,54 @@ def test_nearest(spark, row_block):
 
 def test_error_bound_holds():
     rng = np.random.default_rng(2)
-    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
-    x, q = unit(rng.standard_normal((2000, 64))), unit(rng.standard_normal((20, 64)))
-    turn = ann.rotation(64)
-    assert np.allclose(turn @ turn.T, np.eye(64))
-    codes, f = ann.encode(x, turn)
-    found, error = ann.estimates(codes, f, q @ turn)
-    assert codes.shape == (2000, 8) and (np.abs(found - q @ x.T) <= error).mean() > 0.99
+    x, q = ann.unit(rng.standard_normal((2000, 60))), ann.unit(rng.standard_normal((20, 60)))
+    turn = ann.rotation(60)
+    assert np.allclose(turn @ turn.T, np.eye(60))
+    x, q = x @ turn, q @ turn
+    for center in (np.zeros(60), x[:50].mean(axis=0)):
+        codes = ann.encode(x, center)
+        assert codes.bits.shape == (2000, 8)
+        found, error = ann.estimates(codes, center, q)
+        assert found.shape == (20, 2000) and (np.abs(found - q @ x.T) <= error).mean() > 0.99
+    alone = ann.encode(x[:1], x[0])
+    found, error = ann.estimates(alone, x[0], q[:1])
+    assert abs(found[0, 0] - x[0] @ q[0]) <= error[0, 0] < 1e-4
+
+
+def test_recall_and_reading_of_many_rows(spark):
+    """25,000 clustered rows: recall against brute force, while queries meet a part of the codes only."""
+    rng = np.random.default_rng(9)
+    centers = rng.standard_normal((200, 32)) * 1.5
+    x = (centers[rng.integers(0, 200, 25_000)] + rng.standard_normal((25_000, 32))).astype("float32")
+    import pandas as pd
+
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": range(len(x)), "embedding": x.tolist()}), "vec_id long, embedding array<float>")
+    got = {}
+    for r in ann.nearest(df, F.col("vec_id") % 50 == 0).collect():
+        got.setdefault(r.query_id, {})[r.rank] = r.vec_id
+    unit = ann.unit(x.astype(float))
+    hits = 0
+    for q in range(0, len(x), 50):
+        score = unit @ unit[q]
+        score[q] = -2
+        hits += len(set(np.argsort(-score)[:5].tolist()) & set(got[q].values()))
+    assert len(got) == 500 and hits / 2500 >= 0.95
+    index = ann.fit(x[:10_000].astype(float), len(x))
+    assert len(index.centers) == 158 and index.probes < 80
+
+
+def test_repeated_rows_and_ids(spark):
+    """Copies of a vector are one in the search, and all of them are candidates."""
+    a, b, c = [1.0, 0.0, 0.2], [0.9, 0.1, 0.2], [0.0, 1.0, 0.0]
+    rows = [(0, a), (0, a), (1, a), (1, a), (2, b), (0, c), (20, a), (3, c)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, round(r.score, 9)))
+    score = lambda v, w: round(float(ann.cosines(np.array([v]), np.array(w))[0]), 9)
+    ranked = lambda q, own: sorted((-s, i) for v in own for i, w in rows if i != q for s in [score(w, v)])
+    assert got[20] == [(i, -s) for s, i in ranked(20, [a])][:5]
+    assert got[0] == [(i, -s) for s, i in ranked(0, [a, c])][:5]
 
 
 def test_recall_on_the_table(spark):
