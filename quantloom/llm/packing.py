@@ -1,25 +1,31 @@
 """Hierarchical multi-length packing of token ids into sequences of at most 1,024.
 
-A document's ids (and the end id) are cut into whole windows, a part whose length is a multiple
-of ``GRAIN`` and a part shorter than that: never more than two pieces beside whole windows.
-Each piece is routed to the tier of the smallest context size that holds it. Tiers are packed
-from the longest down, best fit; gaps of long windows are filled from the shorter tiers before
-a new window is opened, with the short parts last, so hardly any padding is left.
+Whole windows are cut off a document's ids (with the end id) only where it is longer than one;
+what is left is one piece, routed to the tier of the smallest context size that holds it.
 
-Piece lengths fall into fewer than 80 classes, so the plan is made from a histogram of that
-size: a list of slots (length class, ranks, windows, offset). A piece's rank within its class is
-its row number within (class, salt) plus the count of the salts before; no class is ever
-gathered in one task, however many documents have the same length.
+* Tiers are packed one after the other, the longest first, best fit among the tier's own windows.
+* Before the next tier is packed, gaps of the tier's windows are filled from the shorter tiers,
+  longest pieces first. What is left of a shorter tier is then packed as that tier's own.
+* At last the emptiest windows are taken apart, and their pieces are laid one after the other
+  over all gaps that are left and cut where a gap ends. Only these pieces are cut, and hardly any
+  padding is left.
 
-Windows with the same contents are neighbours by number, and step groups take every n-th
-window, so each step gets the same mix of tiers.
+A piece has one of 1,024 lengths, so the plan is made from a histogram of that size: slots (length,
+ranks, windows, offset), and for pieces that are cut, their place on the tape of gaps. A piece's
+rank within its length is its row number within (length, salt) plus the count of the salts before;
+no length is ever gathered in one task, however many documents have it. Salts go by row number, so
+that repeated or null ids are spread like others.
+
+Windows are numbered by tier and then by how full they are, and step groups take every n-th window,
+so that a step has of each tier as many windows as any other, give or take one, and of tokens, too.
 
 Tokens: texts are cut at spaces that follow a non-space, where the byte-level pattern always
 ends a word; ids of these chunks are remembered, and the tokenizer encodes new chunks only.
 
 Defined cases: a null text counts as empty and is the end id alone; very long texts are encoded
 whole; repeated rows are packed once each; an empty table gives no rows; further columns are
-ignored. A special token's string in a text is that token, as the tokenizer has it.
+ignored, whatever their names. Ids are whole numbers. A special token's string in a text is that
+token, as the tokenizer has it.
 """
 
 from __future__ import annotations
@@ -28,22 +34,26 @@ import functools
 import os
 import re
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quantloom.llm._common import ids_by_chunk, partitions_for, saved, small, table_batch
+from quantloom.llm._common import ids_by_chunk, partitions_for, row_base, saved, small, table_batch
 
-WINDOW, GRAIN, TIERS = 1024, 64, (1024, 512, 256, 128, 64)
+WINDOW, TIERS = 1024, (1024, 512, 256, 128, 64)
+#: Smaller gaps aren't worth a cut.
+LEAST_GAP = 4
 STEP_WINDOWS = 256
 END_ID = 0
 #: Chunks in each of the two generations a worker remembers (about 80 MB each).
 REMEMBERED = 400_000
-#: Salts: pieces in one (class, salt) are this many on average at most, even if all have one length.
-SALT_PIECES, LEAST_SALTS = 50_000, 64
+#: Salts: pieces in one (length, salt) are this many on average at most, even if all have one length.
+SALT_PIECES, LEAST_SALTS = 50_000, 4
 
 _BREAK = re.compile(r"(?<=\S) ")
 #: White space before a space: there a chunk's end isn't a word's end.
@@ -153,98 +163,241 @@ def encoder(path: str) -> ChunkEncoder:
 def cuts(n: int) -> list[int]:
     """Piece lengths of a document of ``n`` ids."""
     full, rest = divmod(n, WINDOW)
-    high = rest // GRAIN * GRAIN
-    return [WINDOW] * full + [x for x in (high, rest - high) if x]
+    return [WINDOW] * full + ([rest] if rest else [])
+
+
+def tier_of(length: int) -> int:
+    return next(t for t in reversed(TIERS) if length <= t)
 
 
-_PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())])
-_PIECES_DDL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+_CUT = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary())])
+_CUT_DDL = "row long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 
 
 def _cutter(path: str, end_id: int, with_ids: bool):
     tail = int(end_id).to_bytes(4, "little")
-    schema = _PIECES.append(pa.field("ids", pa.binary())) if with_ids else _PIECES
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path)
+        own, row = encoder(path), row_base()
         for batch in batches:
-            columns: list[list] = [[] for _ in schema]
+            columns: list[list] = [[] for _ in _CUT]
             for doc, ids in zip(batch.column(0).to_pylist(), own.encode([t or "" for t in batch.column(1).to_pylist()]), strict=True):
                 view, start = memoryview(ids + tail), 0
                 n = len(view) // 4
                 for length in cuts(n):
                     part = view[4 * start : 4 * (start + length)]
-                    row = [doc, start, length, zlib.crc32(part), n, *([bytes(part)] if with_ids else [])]
-                    for c, x in zip(columns, row, strict=True):
+                    # A whole window's ids aren't needed again, unless they are asked for.
+                    for c, x in zip(columns, (row, doc, start, length, zlib.crc32(part), n, bytes(part) if with_ids or length < WINDOW else None), strict=True):
                         c.append(x)
                     start += length
-            yield table_batch(schema, columns)
+                    row += 1
+            yield table_batch(_CUT, columns)
 
     return cut
 
 
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
-    """A row per piece; with ``with_ids`` also its ids (little-endian unsigned 32-bit)."""
+    """A row per piece with its ids (little-endian unsigned 32-bit); those of whole windows only ``with_ids``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(small(_cutter(tokenizer, end_id, with_ids)), _PIECES_DDL + (", ids binary" if with_ids else ""))
+    return rows.mapInArrow(small(_cutter(tokenizer, end_id, with_ids)), _CUT_DDL)
+
+
+@dataclass(order=True)
+class _Windows:
+    """``n`` windows of equal contents: (length, pieces a window, first rank) one after the other."""
 
+    gap: int
+    n: int
+    tier: int
+    contents: list[tuple[int, int, int]] = field(default_factory=list)
 
-def plan(counts: dict[int, int]) -> tuple[list[tuple[int, int, int, int, int, int]], int]:
-    """Slots (length, first rank, end rank, first window, copies per window, offset) and the number of windows.
+    def split(self, n: int) -> _Windows:
+        """Take the last ``n`` windows off."""
+        kept = self.n - n
+        off = _Windows(self.gap, n, self.tier, [(length, per, rank + kept * per) for length, per, rank in self.contents])
+        self.n = kept
+        return off
 
-    ``counts``: pieces of each length. Groups of windows with equal contents are split as they
-    are filled, so the number of slots depends on the number of lengths only.
+
+@dataclass
+class Plan:
+    """Slots: (length, first rank, end rank, first window, copies a window, offset, tier).
+
+    Fillers: (length, first rank, end rank, place on the tape). Tape: (place, gap, first window,
+    offset, tier) of windows with equal gaps, whose gaps lie one after the other.
     """
-    slots, open_groups, windows = [], [], 0  # a group: [gap, first window, windows]
-    for length in sorted(counts, reverse=True):
-        rank, left = 0, counts[length]
-        while left:
-            fitting = [g for g in open_groups if g[0] >= length]
-            if fitting:
-                group = min(fitting)
-            else:
-                per = WINDOW // length
-                group = [WINDOW, windows, -(-left // per)]
-                windows += group[2]
-                open_groups.append(group)
-            open_groups.remove(group)
-            gap, first, n = group
-            per = min(gap // length, left)
-            take = min(n, left // per)
-            slots.append((length, rank, rank + take * per, first, per, WINDOW - gap))
-            rank, left = rank + take * per, left - take * per
-            if gap - per * length:
-                open_groups.append([gap - per * length, first, take])
-            if n > take:
-                open_groups.append([gap, first + take, n - take])
-    return slots, windows
-
-
-def packed(cut: DataFrame) -> DataFrame:
-    """``cut`` (from :func:`pieces`, saved) with sequence_id, offset, tier and step_group."""
-    n = cut.count()
-    salts = partitions_for(n, SALT_PIECES, LEAST_SALTS)
-    salted = cut.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(salts)).cast("int"))
-    sums = salted.groupBy("length", "__salt").agg(F.count(F.lit(1)).alias("n"))
-    counts = {r["length"]: r["n"] for r in sums.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # fewer than 80 rows
-    slots, windows = plan(counts)
-    before = Window.partitionBy("length").orderBy("__salt").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("length", "__salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
-    own = Window.partitionBy("length", "__salt").orderBy("doc_id", "start", "ids_crc32")
-    ranked = salted.withColumn("__own", F.row_number().over(own) - 1).join(starts, ["length", "__salt"]).withColumn("__rank", F.col("__before") + F.col("__own"))
-    spark = cut.sparkSession
-    rows = [f"({a}L,{b}L,{c}L,{d}L,{e}L,{f}L)" for a, b, c, d, e, f in slots] or ["(0L,0L,0L,0L,1L,0L)"]
-    table = spark.sql(f"SELECT * FROM VALUES {','.join(rows)} AS t(slot_length, rank_from, rank_to, first_window, per, slot_offset)")
-    # The slots depend on the number of length classes, not on the data's size.
-    at = ranked.join(F.broadcast(table), (F.col("length") == F.col("slot_length")) & (F.col("__rank") >= F.col("rank_from")) & (F.col("__rank") < F.col("rank_to")))
-    within = F.col("__rank") - F.col("rank_from")
-    steps = partitions_for(windows, STEP_WINDOWS)
-    tier = F.lit(TIERS[0])
-    for t in TIERS[1:]:
-        tier = F.when(F.col("length") <= t, F.lit(t)).otherwise(tier)
-    sequence = F.col("first_window") + F.expr("(__rank - rank_from) div per")
-    return at.select(*cut.columns, sequence.alias("sequence_id"), (F.col("slot_offset") + within % F.col("per") * F.col("length")).alias("offset"), tier.alias("tier"), F.pmod(sequence, F.lit(steps)).alias("step_group"))
+
+    slots: list[tuple[int, int, int, int, int, int, int]]
+    fillers: list[tuple[int, int, int, int]]
+    tape: list[tuple[int, int, int, int, int]]
+    windows: int
+
+
+class _Tier:
+    """Windows of one tier that still have gaps, by gap."""
+
+    def __init__(self):
+        self.gaps: list[int] = []
+        self.open: dict[int, list[_Windows]] = {}
+        self.full: list[_Windows] = []
+
+    def add(self, w: _Windows) -> None:
+        if not w.gap:
+            self.full.append(w)
+        else:
+            if not self.open.get(w.gap):
+                insort(self.gaps, w.gap)
+            self.open.setdefault(w.gap, []).append(w)
+
+    def fit(self, length: int) -> _Windows | None:
+        """Windows with the smallest gap that holds ``length``, taken out."""
+        k = bisect_left(self.gaps, length)
+        if k == len(self.gaps):
+            return None
+        held = self.open[self.gaps[k]]
+        found = held.pop()
+        if not held:
+            del self.gaps[k]
+        return found
+
+    def place(self, length: int, left: int, rank: int, tier: int | None) -> int:
+        """Best fit of ``left`` pieces; with ``tier`` new windows are opened. How many were placed."""
+        placed = 0
+        while placed < left:
+            w = self.fit(length)
+            if w is None:
+                if tier is None:
+                    break
+                w = _Windows(WINDOW, -(-(left - placed) // (WINDOW // length)), tier)
+            per = min(w.gap // length, left - placed)
+            take = min(w.n, (left - placed) // per)
+            if take < w.n:
+                self.add(w.split(w.n - take))
+            w.contents.append((length, per, rank + placed))
+            w.gap -= per * length
+            placed += take * per
+            self.add(w)
+        return placed
+
+    def all(self) -> list[_Windows]:
+        return self.full + [w for held in self.open.values() for w in held]
+
+
+def plan(counts: dict[int, int]) -> Plan:
+    """``counts``: pieces of each length. The size of the plan depends on the number of lengths only."""
+    ranks, left = dict.fromkeys(counts, 0), dict(counts)
+    lengths = sorted(counts, reverse=True)
+    windows: list[_Windows] = []
+    for tier in TIERS:
+        own = _Tier()
+        for length in lengths:
+            routed = tier_of(length)
+            if routed <= tier and left[length]:
+                n = own.place(length, left[length], ranks[length], tier if routed == tier else None)
+                ranks[length] += n
+                left[length] -= n
+        windows += own.all()
+
+    # Each window that is taken apart brings its contents and its gap: a window in all.
+    windows.sort(key=lambda w: w.gap)
+    apart = sum(w.gap * w.n for w in windows if w.gap >= LEAST_GAP) // WINDOW
+    loose: list[tuple[int, int, int]] = []
+    while apart:
+        w = windows.pop()
+        if w.n > apart:
+            off = w.split(apart)
+            windows.append(w)
+            w = off
+        apart -= w.n
+        loose += [(length, rank, rank + w.n * per) for length, per, rank in w.contents]
+    fillers, at = [], 0
+    for length, rank, end in sorted(loose, reverse=True):
+        fillers.append((length, rank, end, at))
+        at += (end - rank) * length
+
+    # The widest gaps come first on the tape; what it covers is full and numbered before the rest of its tier.
+    covered, place = {}, 0
+    for w in sorted((w for w in windows if w.gap >= LEAST_GAP), key=lambda w: -w.gap):
+        covered[id(w)] = place
+        place += w.gap * w.n
+    gap = lambda w: 0 if id(w) in covered and covered[id(w)] + w.gap * w.n <= at else w.gap
+    slots, tape, first = [], [], 0
+    for w in sorted(windows, key=lambda w: (-w.tier, gap(w))):
+        offset = 0
+        for length, per, rank in w.contents:
+            slots.append((length, rank, rank + w.n * per, first, per, offset, w.tier))
+            offset += per * length
+        if id(w) in covered:
+            tape.append((covered[id(w)], w.gap, first, offset, w.tier))
+        first += w.n
+    return Plan(sorted(slots), fillers, sorted(tape), first)
+
+
+_OUT = pa.schema([*(f for f in _CUT if f.name not in ("row", "ids")), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("tier", pa.int32()), ("step_group", pa.int64())])
+_OUT_DDL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int, step_group long"
+_RANKS = 1 << 40
+
+
+def _placer(made: Plan, steps: int, with_ids: bool):
+    schema = _OUT.append(pa.field("ids", pa.binary())) if with_ids else _OUT
+    slots = np.array(made.slots or [(0,) * 7], np.int64)
+    keys = slots[:, 0] * _RANKS + slots[:, 1]
+    fillers = np.array(sorted(made.fillers) or [(0,) * 4], np.int64)
+    filler_keys = fillers[:, 0] * _RANKS + fillers[:, 1]
+    tape = np.array(made.tape or [(0, 1, 0, 0, 0)], np.int64)
+
+    def whole(batch: pa.RecordBatch, rank: np.ndarray, length: np.ndarray, slot: np.ndarray) -> pa.RecordBatch:
+        own = slots[slot]
+        within = rank - own[:, 1]
+        sequence = own[:, 3] + within // own[:, 4]
+        added = [pa.array(sequence), pa.array(own[:, 5] + within % own[:, 4] * length), pa.array(own[:, 6].astype(np.int32)), pa.array(sequence % steps)]
+        return pa.RecordBatch.from_arrays([*(batch[f.name] for f in _OUT if f.name in batch.schema.names), *added, *([batch["ids"]] if with_ids else [])], schema=schema)
+
+    def parts(batch: pa.RecordBatch, rank: np.ndarray) -> pa.RecordBatch:
+        columns: list[list] = [[] for _ in schema]
+        for r, k in zip(batch.to_pylist(), rank.tolist(), strict=True):
+            length, since, _, at = fillers[np.searchsorted(filler_keys, r["length"] * _RANKS + k, "right") - 1].tolist()
+            at += (k - since) * length
+            view, done = memoryview(r["ids"]), 0
+            while done < length:
+                place, gap, first, offset, tier = tape[np.searchsorted(tape[:, 0], at, "right") - 1].tolist()
+                window, within = divmod(at - place, gap)
+                n = min(length - done, gap - within)
+                part = view[4 * done : 4 * (done + n)]
+                row = [r["doc_id"], r["start"] + done, n, zlib.crc32(part), r["doc_tokens"], first + window, offset + within, tier, (first + window) % steps, *([bytes(part)] if with_ids else [])]
+                for c, x in zip(columns, row, strict=True):
+                    c.append(x)
+                done, at = done + n, at + n
+        return table_batch(schema, columns)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rank, length = batch["rank"].to_numpy(), batch["length"].to_numpy()
+            slot = np.maximum(np.searchsorted(keys, length * _RANKS + rank, "right") - 1, 0)
+            fits = (slots[slot, 0] == length) & (rank < slots[slot, 2])
+            at, rest = np.flatnonzero(fits), np.flatnonzero(~fits)
+            yield whole(batch.take(pa.array(at)), rank[at], length[at], slot[at])
+            if len(rest):
+                yield parts(batch.take(pa.array(rest)), rank[rest])
+
+    return place
+
+
+def packed(cut: DataFrame, with_ids: bool = False) -> DataFrame:
+    """``cut`` (from :func:`pieces`, saved) with sequence_id, offset, tier and step_group, a row per final piece."""
+    salts = partitions_for(cut.count(), SALT_PIECES, LEAST_SALTS)
+    salted = cut.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int"))
+    sums = saved(salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")), "piece-sums")
+    made = plan({r["length"]: r["n"] for r in sums.groupBy("length").agg(F.sum("n").alias("n")).collect()})  # a row per length
+    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    if not with_ids:  # ids go along only with lengths of which some pieces are cut
+        salted = salted.withColumn("ids", F.when(F.col("length").isin(sorted({f[0] for f in made.fillers})), F.col("ids")))
+    own = Window.partitionBy("length", "salt").orderBy("row")
+    ranked = salted.withColumn("own", F.row_number().over(own) - 1).join(starts, ["length", "salt"]).withColumn("rank", F.col("before") + F.col("own"))
+    given = ranked.select(*(f.name for f in _CUT if f.name != "row"), "rank")
+    return given.mapInArrow(_placer(made, partitions_for(made.windows, STEP_WINDOWS), with_ids), _OUT_DDL + (", ids binary" if with_ids else ""))
 
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
-    return packed(saved(pieces(docs, tokenizer, id_col, text_col, end_id, with_ids), "pieces"))
+    return packed(saved(pieces(docs, tokenizer, id_col, text_col, end_id, with_ids), "pieces"), with_ids)

@@ -114,24 +114,84 @@ def test_remembering_is_bounded(monkeypatch):
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.dictionaries(st.one_of(st.integers(1, 63), st.integers(1, 16).map(lambda k: 64 * k)), st.integers(1, 5000), max_size=40))
+@given(st.dictionaries(st.integers(1, 1024), st.integers(1, 5000), max_size=60))
 def test_plans_fill_windows(counts):
-    slots, windows = packing.plan(counts)
-    used = defaultdict(list)
-    ranks = defaultdict(int)
-    for length, a, b, first, per, offset in slots:
-        assert a == ranks[length]
-        ranks[length] = b
+    made = packing.plan(counts)
+    covered, used, tiers = defaultdict(list), defaultdict(list), {}
+    for length, a, b, first, per, offset, tier in made.slots:
+        covered[length].append((a, b))
         assert (b - a) % per == 0
         for w in range(first, first + (b - a) // per):
             used[w].append((offset, per * length))
-    assert dict(ranks) == counts and set(used) == set(range(windows))
-    for parts in used.values():
-        end = 0
+            tiers[w] = tier
+    for length, a, b, _ in made.fillers:
+        covered[length].append((a, b))
+    for length, n in counts.items():  # every rank once
+        at = 0
+        for a, b in sorted(covered[length]):
+            assert a == at
+            at = b
+        assert at == n
+    spread, end = sum((b - a) * length for length, a, b, _ in made.fillers), 0
+    tokens = dict.fromkeys(range(made.windows), 0)
+    for w, parts in used.items():
+        at = 0
         for offset, size in sorted(parts):
-            assert offset == end
-            end += size
-        assert end <= packing.WINDOW
+            assert offset == at
+            at += size
+        tokens[w] = at
+    assert set(used) == set(tokens) and max(tokens.values(), default=0) <= packing.WINDOW
+    for place, gap, first, offset, _ in made.tape:
+        assert place == end and tokens[first] == offset == packing.WINDOW - gap
+        n = 0
+        while first + n in used and tokens[first + n] == offset and used[first + n] == used[first]:
+            n += 1
+        following = [p for p, *_ in made.tape if p > place]
+        n = (min(following) - place) // gap if following else n
+        for w in range(first, first + n):
+            tokens[w] += max(0, min(gap, spread - end))
+            end += gap
+    assert spread <= end
+    # hardly any padding: less than a window, and gaps that are too small to fill
+    assert sum(packing.WINDOW - t for t in tokens.values()) < packing.WINDOW + packing.LEAST_GAP * made.windows
+    # a step has as many windows and tokens as any other, and of each tier as many
+    steps = max(1, made.windows // 7)
+    of_steps = defaultdict(lambda: defaultdict(int))
+    for w, t in tiers.items():
+        of_steps[w % steps][t] += 1
+        of_steps[w % steps]["tokens"] += tokens[w]
+    for t in {*tiers.values()}:
+        n = [of_steps[k][t] for k in range(steps)]
+        assert max(n) - min(n) <= 1
+    if steps > 1:
+        n = [of_steps[k]["tokens"] for k in range(steps)]
+        assert max(n) - min(n) <= 3 * packing.WINDOW + 40 * packing.LEAST_GAP
+
+
+def test_tiers_are_packed_then_filled():
+    made = packing.plan({600: 10, 300: 9, 100: 30, 40: 100, 1024: 3})
+    tier = {}
+    for length, _, _, first, per, offset, t in made.slots:
+        tier.setdefault(first, []).append((offset, length, per, t))
+    assert all(t == 1024 for parts in tier.values() for _, length, _, t in parts if length > 512)
+    # gaps of the long windows hold pieces of the shorter tiers
+    long = [sorted(parts) for parts in tier.values() if min(parts)[1] == 600]
+    assert long and all(len(parts) > 1 and all(p[3] == 1024 for p in parts) for parts in long)
+    assert packing.plan({}) == packing.Plan([], [], [], 0)
+    assert packing.cuts(1024) == [1024] and packing.cuts(2500) == [1024, 1024, 452] and packing.cuts(700) == [700]
+
+
+def test_cuts_close_gaps(spark):
+    """Documents of one length: a third of the windows is taken apart, and every piece is whole or cut at a gap's end."""
+    text = "word " * 599  # 600 ids with the end id
+    docs = spark.range(300).selectExpr("IF(id < 100, NULL, id % 7) AS doc_id", f"'{text.strip()}' AS text")
+    rows = packing.pack(docs, BYTE_BPE).collect()
+    n = rows[0].doc_tokens
+    tokens = defaultdict(int)
+    for r in rows:
+        tokens[r.sequence_id] += r.length
+    assert sum(tokens.values()) == 300 * n and len(tokens) == -(-300 * n // 1024)
+    assert sum(r.start == 0 and r.length == n for r in rows) >= 120 and len(rows) <= 300 + len(tokens)
 
 
 def check_packed(rows, docs, end_id=0):
@@ -172,7 +232,7 @@ def test_packing_of_the_table(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     rows = queries.op6_packing(spark, sf).collect()
     padding, total = check_packed(rows, docs)
-    assert padding < 0.01 * total
+    assert padding < 0.01 * total and len(rows) < 1.25 * sum(len(packing.cuts(n)) for n in {(r.doc_id, r.doc_tokens): r.doc_tokens for r in rows}.values())
     per_step = defaultdict(set)
     for r in rows:
         per_step[r.step_group].add(r.sequence_id)
