@@ -1,19 +1,24 @@
 """Main text of web pages: flat text blocks classified by a decision tree.
 
 The page is cut into flat blocks at block-level tags; no document tree is built. Each block has
-its word count and link density, those of its two neighbours, whether it is a heading, and what
-the open containers say (an article or main element, or a menu, header, footer, sidebar, notice,
-advert, form or comments, by tag, role, class or id). A decision tree over these numbers, trained
-when first used on the small labelled table of ``SAMPLES``, tells main text from the rest.
-
-Scripts, styles, comments and other invisible elements are left out while cutting. Character
-references are decoded; white space within a block becomes one space; blocks are joined by an
-empty line.
+its word count and link density, those of the blocks before and after it, whether it is a heading,
+and what the open tags say (an article or main element, or a menu, header, footer, sidebar,
+notice, advert, form or comments, by tag, role, class or id; and whether the page has an article
+elsewhere). A decision tree over these numbers, trained when first used on the small labelled
+table of ``NAMED`` and ``PLAIN`` pages, tells main text from the rest. The plain pages say nothing by
+their tags: there the words and links of a block and its neighbours decide. The same pages inside an
+article and inside furniture teach that what tags say goes first.
+
+Class names and ids are taken as whole words: "side-effects" and "related-work" name no page
+furniture, "site-footer" and "ad-slot" do, by their last word, or by the first if only words for
+layout follow. Elements that are hidden by attribute or style are left out whatever they are, as are
+scripts, styles, comments and other invisible elements. Character references are decoded; white
+space within a block becomes one space; blocks are joined by an empty line.
 
 Defined cases: null html counts as empty and gives an empty text; a page that is cut off keeps
 what is there, an unfinished tag at its end is dropped; unclosed and stray tags are tolerated;
-repeated rows each get their row; an empty table gives none; further columns pass through
-:func:`extract`.
+very long pages are read whole; repeated rows each get their row; an empty table gives none;
+columns named text and n_chars are replaced, others but html pass through :func:`extract`.
 """
 
 from __future__ import annotations
@@ -36,18 +41,23 @@ _BLOCKS = frozenset("address article aside blockquote body center dd details dia
 _CELLS = frozenset(("td", "th", "br", "img", "wbr"))
 _HIDDEN = frozenset("script style noscript template title textarea select svg math iframe object canvas audio video head button".split())
 _RAW = frozenset(("script", "style", "textarea", "title", "iframe"))
-_CONTAINERS = frozenset("article aside body details dialog div dl fieldset figure footer form header li main menu nav ol section table td ul".split())
 _ALWAYS_OUT = frozenset(("nav", "footer", "aside", "menu", "dialog"))
 _ALWAYS_OUT_NAMES = frozenset("comment comments commentlist disqus respond reply replies nav navbar navigation menu breadcrumb breadcrumbs footer cookie cookies consent gdpr ad ads advert adverts advertisement adsense sponsored sponsor promo promotion newsletter subscribe popup modal discussion feedback responses toc".split())
-_OUT_NAMES = frozenset("masthead topbar sidebar side secondary announcement toast aside widget widgets related recommended recommendations share sharing social signup login search pagination pager toolbar copyright legal disclaimer banner notice notices alert overlay rail teaser teasers tags taglist byline meta".split())
+_OUT_NAMES = frozenset("masthead topbar sidebar side secondary announcement toast aside widget widgets related recommended recommendations share sharing social signup login search pagination pager toolbar copyright legal disclaimer banner notice notices alert overlay rail teaser teasers tags taglist".split())
 _IN_NAMES = frozenset("article articlebody content post entry story main text prose body".split())
-#: Words for layouts and variants: "has-sidebar", "no-ads" and "with-comments" name no furniture.
-_VARIANTS = frozenset("no has with without free".split())
+#: Words for layout: after a name they change nothing ("comment-list"), before one they do ("no-ads").
+_LAYOUT = frozenset("area bar block blocks body bottom box button buttons col column container content group inner item items left link links list main outer panel primary right row section slot top unit wrap wrapper zone posts articles stories form".split())
+_VARIANTS = frozenset("no has with without free is".split())
 _OUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
+_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements that another start tag ends, and the tags that end them; ``None`` stands for any block.
+_ENDED_BY = {"p": None, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"}, "option": {"option"}} | {f"h{k}": {f"h{j}" for j in range(1, 7)} for k in range(1, 7)}
+_OPEN = _BLOCKS | {"td", "th"}
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|</?[a-zA-Z][^>]*\Z|<//?\Z""", re.S)
 _NAMES = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-_SPLIT = re.compile(r"[^a-z]+")
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
 @dataclass
@@ -60,40 +70,56 @@ class Block:
     within: bool  # an article is open, whatever else is
 
 
-def _kind(name: str, attributes: str) -> tuple[float, bool]:
+def _named(value: str, names: frozenset[str]) -> bool:
+    """Whether a class or id holds a name as a whole word, as the last word of one, or before words for layout."""
+    for token in value.split():
+        parts = [w.lower() for w in _WORDS.findall(token)]
+        if not parts or parts[0] in _VARIANTS:
+            continue
+        if token.lower() in names or parts[-1] in names or (parts[0] in names and _LAYOUT.issuperset(parts[1:])):
+            return True
+    return False
+
+
+def _attributes(text: str) -> dict[str, str]:
+    found: dict[str, str] = {}
+    for m in _NAMES.finditer(text):
+        found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return found
+
+
+def _unseen(own: dict[str, str]) -> bool:
+    return ("hidden" in own and own["hidden"].lower() != "until-found") or own.get("aria-hidden", "").lower() == "true" or bool(_UNSEEN.search(own.get("style", "").lower()))
+
+
+def _kind(name: str, own: dict[str, str]) -> tuple[float, bool]:
     """What an opening tag says: 1 article, -1 furniture, -0.5 a header (of the page or of an article), 0 nothing; and whether that holds whatever is inside it."""
     if name in _ALWAYS_OUT:
         return -1, True
-    if attributes:
-        names: set[str] = set()
-        for m in _NAMES.finditer(attributes):
-            key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-            if key in ("class", "id"):
-                names.update(_SPLIT.split(value))
-            elif key == "role":
-                if value in _OUT_ROLES:
-                    return -1, True
-                if value in ("main", "article"):
-                    return 1, False
-            elif (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)) or key == "hidden" or (key == "aria-hidden" and value == "true"):
-                return -1, True
-        if names & _VARIANTS:
-            names -= _ALWAYS_OUT_NAMES | _OUT_NAMES
-        if names & _ALWAYS_OUT_NAMES and name not in ("body", "html", "article", "main"):
+    role, names = own.get("role", "").lower(), f"{own.get('class', '')} {own.get('id', '')}"
+    if role in _OUT_ROLES:
+        return -1, True
+    if names != " " and name not in ("body", "html"):
+        if _named(names, _ALWAYS_OUT_NAMES) and (name not in ("article", "main") or _named(names, frozenset(("comment", "comments", "reply")))):
             return -1, True
-        if name in ("article", "main"):
-            return (-1, True) if names & {"comment", "comments", "reply"} else (1, False)
-        if names & _OUT_NAMES and name != "body":
-            return -1, False
-        if name == "header" or ("header" in names and name != "body"):
-            return -0.5, False
-        if names & _IN_NAMES and name not in ("body", "form"):
-            return 1, False
-    if name in ("article", "main"):
+        if name not in ("article", "main"):
+            if _named(names, _OUT_NAMES):
+                return -1, False
+            if name == "header" or _named(names, frozenset(("header",))):
+                return -0.5, False
+            if name != "form" and _named(names, _IN_NAMES):
+                return 1, False
+    if role in ("main", "article") or name in ("article", "main"):
         return 1, False
     return {"header": -0.5, "form": -1.0}.get(name, 0.0), False
 
 
+def _ends(tag: str, opened: str) -> bool:
+    """Whether the start of ``tag`` ends an open element of name ``opened``."""
+    by = _ENDED_BY.get(opened, ())
+    return tag in _OPEN if by is None else tag in by
+
+
 def blocks(html: str) -> list[Block]:
     out: list[Block] = []
     parts: list[str] = []
@@ -113,16 +139,18 @@ def blocks(html: str) -> list[Block]:
         parts, linked = [], []
 
     def look() -> None:
-        nonlocal place, within
-        place, within = 0.0, False
-        for _, kind, always in open_tags:
+        nonlocal place, within, heading
+        place, within, heading = 0.0, False, False
+        for name, kind, always in open_tags:
+            if name[0] == "h" and name[1:].isdigit():
+                heading = True
             if kind > 0:
                 within = True
             if kind:
                 place = kind
             if always:
                 place = -1.0
-                return
+                break
 
     while at < n:
         m = _TAG.search(html, at)
@@ -138,59 +166,78 @@ def blocks(html: str) -> list[Block]:
         if not name:
             continue
         name, closing, attributes = name.lower(), bool(m[1] or m[4]), m[3] or m[6] or ""
-        if name in _HIDDEN:
-            if not closing and not attributes.endswith("/"):
-                if name in _RAW:
-                    end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(html, at)
-                    at = end.end() if end else n
-                else:
-                    hidden.append(name)
-            elif closing and name in hidden:
-                del hidden[hidden.index(name) :]
-            if name == "head" and closing:
+        if hidden:
+            top = hidden[-1]
+            if name == top:
+                if closing:
+                    hidden.pop()
+                    continue
+                if not _ends(name, top):
+                    hidden.append(name)  # nested; raw text never is
+                    continue
+                hidden.pop()
+            elif top in _ENDED_BY and ((not closing and _ends(name, top)) or (closing and name in _OPEN)):
+                hidden.pop()
+            elif name == "body" and not closing:
+                hidden.clear()
+            if hidden:
+                continue
+        own = _attributes(attributes) if attributes and not closing else {}
+        if not closing and (name in _HIDDEN or (own and _unseen(own))) and name not in _VOID and name != "body":
+            if name in _OPEN:
                 flush()
+            if name in _RAW:
+                end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(html, at)
+                at = end.end() if end else n
+            elif not attributes.endswith("/"):
+                hidden.append(name)
             continue
-        if hidden and name == "body" and not closing:
-            hidden.clear()
-        if hidden:
+        if name in _HIDDEN:
+            if name == "head":
+                flush()
             continue
         if name == "a":
             in_link = not closing
         elif name in _CELLS:
             parts.append(" ")
-        elif name in _BLOCKS or name in _CONTAINERS:
+        if name in _BLOCKS:
             flush()
             in_link = in_link and name not in ("nav", "article", "footer", "body")
-            if name[0] == "h" and name[1:].isdigit():
-                heading = not closing
-            elif not closing and name != "hgroup":
-                heading = False
-            if name in _CONTAINERS:
-                if closing:
-                    for k in range(len(open_tags) - 1, -1, -1):
-                        if open_tags[k][0] == name:
-                            del open_tags[k:]
-                            look()
-                            break
-                elif not attributes.endswith("/"):
-                    open_tags.append((name, *_kind(name, attributes)))
+        if name not in _OPEN or name in _VOID:
+            continue
+        if closing:
+            for k in range(len(open_tags) - 1, -1, -1):
+                if open_tags[k][0] == name:
+                    del open_tags[k:]
                     look()
+                    break
+        elif not attributes.endswith("/"):
+            while open_tags and _ends(name, open_tags[-1][0]):
+                open_tags.pop()
+            open_tags.append((name, *_kind(name, own)))
+            look()
     flush()
     return out
 
 
+#: The columns of :func:`table`; the last three are what tags say.
+FEATURES = ("words", "density", "words before", "density before", "words after", "density after", "heading", "heading before", "heading after", "place", "within", "elsewhere")
+
+
 def table(found: list[Block]) -> np.ndarray:
-    """Numbers of each block: words and link density of itself, the one before and the one after; heading, place, within."""
+    """Numbers of each block: FEATURES."""
     words = np.array([b.words for b in found], float)
     density = np.array([min(1.0, b.linked / b.words) for b in found])
-    shift = lambda v, k: np.concatenate([[0.0], v[:-1]]) if k < 0 else np.concatenate([v[1:], [0.0]])
-    return np.column_stack([words, density, shift(words, -1), shift(density, -1), shift(words, 1), shift(density, 1), [float(b.heading) for b in found], [float(b.place) for b in found], [float(b.within) for b in found]])
+    heading, within = np.array([float(b.heading) for b in found]), np.array([float(b.within) for b in found])
+    before, after = lambda v: np.concatenate([[0.0], v[:-1]]), lambda v: np.concatenate([v[1:], [0.0]])
+    sides = [f(v) for f in (before, after) for v in (words, density)]
+    return np.column_stack([words, density, *sides, heading, before(heading), after(heading), [float(b.place) for b in found], within, within.any() * (1 - within)])
 
 
 class Tree:
     """CART by Gini impurity; grown until pure or ``depth``."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 7):
+    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 10):
         self.root = self._grow(x, y, depth)
 
     def _grow(self, x: np.ndarray, y: np.ndarray, depth: int):
@@ -232,28 +279,56 @@ class Tree:
 
 
 #: The labelled table, as pages: a block's text is "+" or "-" (its label), how many words it has and how many of these are linked.
-SAMPLES = (
+NAMED = (
     "<header><h1>-3</h1><p>-6</p></header><nav><ul><li>-1/1<li>-2/2<li>-1/1</ul></nav><article><h1>+7</h1><p>+40</p><p>+85/3</p><p>+12</p><p>+1</p><h2>+4</h2><p>+2</p><ul><li>+9</li><li>+6/6</li></ul><blockquote>+30</blockquote></article><aside><h3>-2</h3><p>-35</p><ul><li>-5/5<li>-6/6</ul></aside><footer><p>-25/4</p><p>-3</p></footer>",
     "<div class='ad'>-6</div><div class='ad'>-30</div><main><header><h1>+9</h1></header><p>+3</p><p>+60</p><form><p>-8</p><p>-3</p></form><p>+22</p><div class='share'>-3/3</div><p>+110</p></main><div class='comments'><h3>-2</h3><p>-45</p><p>-20</p><div><p>-70</p></div></div><footer>-12</footer>",
     "<div id='cookie-notice'><p>-25/2</p></div><div class='header'>-4/4</div><div class='menu'>-5/5</div><div class='content'><h1>+8</h1><div>+55</div><p>+14/14</p><p>+31</p><div class='sidebar'><p>-28</p><p>-4/4</p></div><p>+48</p></div><div class='footer'>-14</div>",
-    "<p>-2/2</p><p>-3/3</p><p>-1/1</p><h1>+6</h1><p>+45</p><p>+70/4</p><p>+38</p><p>+52</p><p>-4/4</p><p>-2/2</p><p>-6/5</p>",
-    "<div>-8/8</div><div>-5/4</div><div>+90</div><div>+64/2</div><div>+18</div><div>+41</div><div>-7/7</div><div>-3</div>",
-    "<article><header><p>-5</p><h1>+10</h1></header><div class='byline'>-6/2</div><p>+16</p><p>+5</p><div class='promo'><p>-33/3</p></div><p>+77</p><nav>-4/4</nav></article><article class='comment'><p>-50</p></article>",
+    "<article><header><p>+5</p><h1>+10</h1></header><div class='byline'>+6/2</div><p>+16</p><p>+5</p><div class='promo'><p>-33/3</p></div><p>+77</p><nav>-4/4</nav></article><article class='comment'><p>-50</p></article>",
     "<header><p>-40</p></header><div class='notice'><p>-60</p></div><article><p>+1</p></article><article><h2>+2</h2><p>+3/3</p></article><form><p>-50</p></form><footer><h2>-3</h2><p>-90</p></footer>",
     "<header><h2>-8</h2><p>-20</p><h1>-12</h1></header><aside><h2>-9</h2><p>-7</p></aside><div class='related'><h3>-11</h3><p>-30</p></div><article><h1>+2</h1><p>+30</p><aside><h3>-8</h3></aside><div class='comments'><h2>-13</h2></div></article><footer><h3>-10</h3></footer>",
-    "<article><header class='entry-header'><h1>+4</h1><p>-4/1</p></header><p>+50</p></article><article><header><p>-3/3</p><h2>+13</h2><p>-9</p></header><p>+9</p></article><main><div class='post-header'><h1>+8</h1><p>-2</p></div><p>+4</p><p>+33/2</p></main>",
+    "<article><header class='entry-header'><h1>+4</h1><p>+4/1</p></header><p>+50</p></article><article><header><p>+3/3</p><h2>+13</h2><p>+9</p></header><p>+9</p></article><main><div class='post-header'><h1>+8</h1><p>+2</p></div><p>+4</p><p>+33/2</p></main>",
     "<header><h1>-2/2</h1></header><header><h2>-4</h2><h3>-9</h3></header><article><p>+20</p><aside><h2>-3</h2><h3>-14</h3><p>-5</p></aside><h2>+6</h2><p>+18</p></article><div class='sidebar'><h2>-4</h2><h4>-7</h4></div><form><h3>-6</h3></form>",
+    "<div>-2</div><p>-30</p><article><h1>+6</h1><p>+2/2</p><p>+60</p></article><div>-5</div><p>-40</p><p>-25</p><div>-60</div><h3>-3</h3>",
+)
+#: Pages whose tags say nothing: links and words around a block decide.
+PLAIN = (
+    "<p>-2/2</p><p>-3/3</p><p>-1/1</p><h1>+6</h1><p>+45</p><p>+70/4</p><p>+38</p><p>+52</p><p>-4/4</p><p>-2/2</p><p>-6/5</p>",
+    "<div>-8/8</div><div>-5/4</div><div>+90</div><div>+64/2</div><div>+18</div><div>+41</div><div>-7/7</div><div>-3</div>",
     "<div>-2</div><div>-3</div><h1>+7</h1><p>+66</p><p>+8</p><p>+29</p><div>-4</div><div>-2/1</div>",
     "<h1>+5</h1><p>+20</p><h2>+3</h2><p>+25</p><p>+17</p>",
+    "<ul><li>-1/1<li>-1/1<li>-2/2<li>-1/1</ul><div>-4</div><ul><li>-3/3<li>-2/2</ul><h1>+9</h1><div>+35</div><div>+62/5</div><div>+7</div><div>+48</div><h3>-2</h3><ul><li>-6/6<li>-9/9<li>-7/7</ul><div>-9/4</div><div>-11</div>",
+    "<div>-18/2</div><div>-1/1</div><div>-2/2</div><div>-1/1</div><h1>+11</h1><p>+28</p><ul><li>+9</li><li>+12</li><li>+7</li></ul><p>+55</p><p>+33</p><div>-3/3</div><div>-4/4</div><div>-20</div>",
+    "<div>-3/3</div><div>-2/2</div><h2>+8</h2><p>+44</p><h3>+3</h3><p>+51/2</p><h3>+5</h3><p>+27</p><p>+80</p><h4>-3</h4><p>-8/8</p><p>-7/7</p><p>-10/10</p><p>-3/1</p>",
+    "<p>-1/1</p><p>-1/1</p><p>-8</p><p>-2/2</p><h1>+4</h1><p>+120/6</p><p>+5/5</p><p>+95</p><p>+3</p><p>+70</p><p>-2/2</p><p>-2/2</p><p>-15</p>",
+    "<div>-4/4</div><div>-3/3</div><div>-5/5</div><div>+75/3</div><div>+30</div><div>+2</div><div>+58</div><div>+44</div><div>-6/6</div><div>-25/3</div><div>-2/2</div><div>-7</div>",
+    "<ul><li>-2/2<li>-2/2<li>-3/3</ul><h1>+12</h1><p>+15</p><p>+41</p><p>+6</p><p>+22</p><p>+31</p><h3>-4</h3><ul><li>-12/12<li>-8/8</ul><p>-5</p>",
+    "<div>-22</div><div>-2/2</div><div>-2/2</div><h1>+7</h1><div>+39</div><div>+25</div><ol><li>+14</li><li>+18</li><li>+11/2</li></ol><div>+47</div><div>-1/1</div><div>-1/1</div><div>-1/1</div><div>-13/3</div>",
+    "<p>-6/6</p><p>-7/7</p><p>-5/5</p><p>-3</p><p>-8/8</p><h2>+6</h2><p>+33</p><p>+54</p><p>+61/4</p><p>-9/9</p><p>-11/11</p><p>-8/7</p>",
+    "<div>-1/1</div><div>-1/1</div><div>-1/1</div><div>-5</div><h1>+8</h1><div>+4/1</div><div>+46</div><div>+71</div><div>+12</div><div>+36</div><div>-3/3</div><div>-30</div>",
+    "<h1>+9</h1><p>+24</p><p>+60</p><p>+5</p><p>+19</p><h2>+2</h2><p>+40</p><ul><li>-4/4<li>-5/5<li>-3/3</ul><p>-17/2</p><p>-4</p>",
+    "<p>-2/2</p><p>-2/2</p><p>-12</p><h1>+5</h1><p>+26/1</p><p>+8</p><p>+9</p><p>+34</p><p>+16</p><p>-2/2</p><p>-6/6</p><p>-10</p><p>-3</p>",
+    "<div>-3/3</div><div>-1/1</div><h1>+10</h1><p>+18</p><p>+3/3</p><p>+42</p><p>+37</p><p>+50/50</p><p>+45</p><h3>-1</h3><p>-6/6</p><h3>-2</h3><p>-9/9</p><p>-7/7</p><p>-19</p>",
 )
 
 
+def _fill(m: re.Match) -> str:
+    """A block's words, and how many of them are linked."""
+    word, n, linked = "in" if m[1] == "+" else "out", int(m[2]), int(m[3] or 0)
+    return " ".join([word] * (n - linked)) + (f" <a>{' '.join([word] * linked)}</a>" if linked else "")
+
+
+def _told(page: str, k: int) -> str:
+    """A plain page put inside an article, and again inside furniture beside it: what tags say holds, whatever the words are like."""
+    out = ("aside", "footer", "div class=ad", "div class=comments", "nav", "div id=cookie-notice", "div class=sidebar", "form")[k % 8]
+    other = PLAIN[(k + 3) % len(PLAIN)]
+    return f"<{out}>{other.replace('+', '-')}</{out.split()[0]}><article>{page.replace('-', '+')}</article>"
+
+
 def _sampled() -> tuple[np.ndarray, np.ndarray]:
     mark = re.compile(r"([+-])(\d+)(?:/(\d+))?(?=<)")
-    fill = lambda m: " ".join(["in" if m[1] == "+" else "out"] * (int(m[2]) - int(m[3] or 0))) + (" <a>" + " ".join(["in" if m[1] == "+" else "out"] * int(m[3])) + "</a>" if m[3] else "")
     x, y = [], []
-    for page in SAMPLES:
-        found = blocks(mark.sub(fill, page))
+    for page in (*NAMED, *PLAIN, *(_told(page, k) for k, page in enumerate(PLAIN))):
+        found = blocks(mark.sub(_fill, page))
         x.append(table(found))
         y += [b.text.startswith("in") for b in found]
     return np.vstack(x), np.array(y, float)

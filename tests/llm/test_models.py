@@ -241,6 +241,77 @@ def test_tree_learns_the_table():
     assert (html_text.tree().predict(x) == (y > 0)).all() and len(y) > 100
 
 
+def unnamed_page(r):
+    """A page whose tags say nothing, with its labels."""
+    block = lambda tag, x: f"<{tag}>{x}</{tag}>"
+    link = lambda a, b: (lambda n: f"-{n}/{n}")(r.randint(a, b))
+    box, out = r.choice(["p", "div"]), []
+    if r.random() < 0.5:
+        out.append(block("div", f"-{r.randint(12, 28)}"))
+    out += [block(r.choice(["li", "div"]), link(1, 4)) for _ in range(r.randint(3, 8))]
+    if r.random() < 0.5:
+        out.append(block("div", f"-{r.randint(2, 10)}"))
+    out.append(block("h1", f"+{r.randint(4, 12)}"))
+    for _ in range(r.randint(3, 9)):
+        k, n = r.random(), r.randint(18, 120)
+        if k < 0.7:
+            out.append(block(box, f"+{n}" + (f"/{r.randint(1, max(1, n // 12))}" if r.random() < 0.3 else "")))
+        elif k < 0.85:
+            out.append(block(box, f"+{r.randint(3, 16)}"))
+        else:
+            out += [block("h2", f"+{r.randint(2, 6)}"), block(box, f"+{r.randint(20, 60)}")]
+    if r.random() < 0.6:
+        out += [block("h3", f"-{r.randint(1, 4)}")] + [block("li", link(5, 12)) for _ in range(r.randint(2, 5))]
+    else:
+        out += [block("div", link(1, 4)) for _ in range(r.randint(2, 4))]
+    if r.random() < 0.7:
+        out.append(block("div", f"-{r.randint(3, 20)}"))
+    return "".join(out)
+
+
+def test_neighbours_carry_the_tree():
+    """On pages whose tags say nothing, with and without the columns of tags; a block's own numbers alone do worse."""
+    import random
+
+    mark = re.compile(r"([+-])(\d+)(?:/(\d+))?(?=<)")
+    rows = lambda pages: (lambda f: (np.vstack([html_text.table(b) for b in f]), np.array([x.text.startswith("in") for b in f for x in b])))([html_text.blocks(mark.sub(html_text._fill, p)) for p in pages])
+    r = random.Random(1)
+    x, y = rows([unnamed_page(r) for _ in range(200)])
+    f1 = lambda p: 2 * (p & y).sum() / (p.sum() + y.sum())
+    assert f1(html_text.tree().predict(x)) > 0.95
+    plain_x, plain_y = rows(html_text.PLAIN)
+    of = lambda names: [html_text.FEATURES.index(n) for n in names]
+    without = [k for k in range(len(html_text.FEATURES)) if html_text.FEATURES[k] not in ("place", "within", "elsewhere")]
+    assert f1(html_text.Tree(plain_x[:, without], plain_y).predict(x[:, without])) > 0.95
+    own = of(("words", "density", "heading"))
+    assert f1(html_text.Tree(plain_x[:, own], plain_y).predict(x[:, own])) < 0.92
+    used = set()
+
+    def walk(node):
+        if not isinstance(node, float):
+            used.add(html_text.FEATURES[node[0]])
+            walk(node[2])
+            walk(node[3])
+
+    walk(html_text.tree().root)
+    assert {"words before", "density before", "words after", "density after"} <= used
+
+
+def test_hidden_elements_and_whole_names():
+    article = lambda inner: html_text.main_text(f"<nav><a>Home</a></nav><article><h1>Title of it</h1><p>First words of the article.</p>{inner}<p>Last words of the article.</p></article><footer>Foot</footer>").split("\n\n")[2:-1]
+    for gone in (
+        '<p style="display: none">no <b>no</b></p>', "<p><span hidden>no</span></p>", '<p class="comment">no reader speaks here</p>', "<div aria-hidden=true><p>no</p><p>no</p></div>", "<p hidden>no",
+        '<div style="visibility:hidden"><div>no</div>no</div>', '<div class="comment-list"><p>no</p></div>', '<div id="adSlot">no</div>', '<ul><li class="ad">no<li hidden>no</ul>', '<blockquote class="sponsored">no</blockquote>',
+        '<div class="article-footer">no</div>', '<div class="related-posts"><p>no</p></div>',
+    ):
+        assert article(gone) == [], gone
+    for kept in (
+        '<section id="side-effects"><p>yes</p></section>', '<div class="related-work"><p>yes</p></div>', '<div class="no-ads has-sidebar"><p>yes</p></div>', '<p class="summary lead">yes</p>', "<div class='byline'>yes</div>",
+        "<p hidden>no<p>yes</p>", "<ul><li hidden>no<li>yes</ul>", '<ul><li class="ad">no<li>yes</ul>', '<p aria-hidden="false">yes</p>', "<p class=comment>no</p><p>yes</p>", "<p><img hidden>yes</p>", '<div class="commentary">yes</div>', '<h2 class="menu-planning">yes</h2>',
+    ):
+        assert article(kept) == ["yes"], kept
+
+
 def test_pages(spark):
     import re
     from html import unescape
