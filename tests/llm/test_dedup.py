@@ -100,10 +100,52 @@ def test_cuckoo_filter():
     for k in keys[:2500]:
         assert f.remove(k)
     assert all(k in line_dedup.CuckooFilter.from_bytes(f.to_bytes()) for k in keys[2500:])
-    small = line_dedup.Shard(4)
-    for k in range(3000):
-        small.insert(hashlib.md5(str(k).encode()).digest(), 1, k)
-    assert len(small.refs) == 3000
+    many = line_dedup.Filters(64)
+    digests = [hashlib.md5(str(k).encode()).digest() for k in range(3000)]
+    for d in digests:
+        many.insert(d)
+    assert len(many.held) > 1 and all(d in many for d in digests)
+    for d in digests[:1500]:
+        assert many.remove(d)
+    assert all(d in many for d in digests[1500:]) and sum(d in many for d in digests[:1500]) < 15
+
+
+def test_filters_know_the_live_keys(spark):
+    make = lambda ids: spark.createDataFrame([(k, f"a line of document number {k}\nthe common line of all of them") for k in ids], "doc_id long, text string")
+    index = line_dedup.LineIndex.build(make(range(20))).insert(make(range(20, 30))).delete(make(range(10)))
+    held = {r.shard: [] for r in index.filters.collect()}
+    for r in index.filters.collect():
+        held[r.shard].append(line_dedup.CuckooFilter.from_bytes(bytes(r.blob)))
+    live = [bytes(r.digest) for r in index.refs.collect()]
+    assert len(live) == 21 and all(any(line_dedup._hash(d) in f for f in held[0]) for d in live)
+    assert sum(sum(map(bool, f.cells)) for f in held[0]) == 21  # what was deleted is forgotten
+
+
+def test_shards_grow_and_changes_touch_their_shards_only(spark, monkeypatch):
+    """Twenty times the first size, version upon version; exact look-ups are for keys that a filter knows."""
+    import os
+
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 100)
+    rows = [(k, "\n".join(f"line number {j} of document {k}" for j in range(9)) + f"\na line of every third document {k % 3}", "en") for k in range(420)]
+    make = lambda part: spark.createDataFrame(part, "doc_id long, text string, lang string")
+    index, parts = line_dedup.LineIndex.build(make(rows[:20])), []
+    assert index.n_shards == 2
+    for at in range(20, 420, 80):
+        index = index.insert(make(rows[at : at + 80]))
+        parts.append(index.n_shards)
+    assert parts[-1] >= 16 and index.filters.count() >= index.n_shards
+    assert max(r["count"] for r in index.refs.groupBy("shard").count().collect()) < 400
+    assert state(index) == state(line_dedup.LineIndex.build(make(rows)))
+    # one document more: new folders for the shards of its keys alone
+    new = index.insert(make([(1000, "one single new line of its own\na line of every third document 1", "en")]))
+    (_, path), = set(new._refs) - set(index._refs)
+    assert len([d for d in os.listdir(path.removeprefix("file:")) if d.startswith("shard=")]) <= 2
+    assert new._refs[:-1] == index._refs and new._postings[:-1] == index._postings
+    for _ in range(10):  # deleted and inserted again, over the number of versions
+        new = new.delete(make(rows[5:6])).insert(make(rows[5:6]))
+    whole = line_dedup.LineIndex.build(make([*rows, (1000, "one single new line of its own\na line of every third document 1", "en")]))
+    assert state(new) == state(whole) and len(new._refs) <= line_dedup.VERSIONS
+    assert applied(new, make(rows)) == applied(whole, make(rows)) == brute_lines([*rows, (1000, "one single new line of its own\na line of every third document 1")])[:-1]
 
 
 def brute_print(text, words=3):
