@@ -73,14 +73,16 @@ def small(work: Work) -> Work:
 HOT_PART = 4096
 
 
-def joined(rows: DataFrame, table: DataFrame, keys: Sequence[str], n: str, total: int) -> DataFrame:
-    """``rows`` inner joined to ``table``, which has each key once and in ``n`` how many rows hold it.
+def joined(rows: DataFrame, table: DataFrame, keys: Sequence[str], n: str, total: int, few: int = 0) -> DataFrame:
+    """``rows``, ``total`` in all, inner joined to ``table``, which has each key once and in ``n`` how many rows hold it.
 
     Hot keys, of which there are HOT_PART at most, are broadcast, so that their rows stay where
     they are; the rest are shuffled. Column ``n`` is left out. Both inputs are read twice: save
-    them first.
+    them first. Up to ``few`` rows in all are no load for one task and just joined.
     """
     keys = list(keys)
+    if total <= few:
+        return rows.join(table.drop(n), keys)
     hot = table.where(F.col(n) > max(1, total // HOT_PART)).drop(n).limit(HOT_PART)
     cold = table.where(F.col(n) <= max(1, total // HOT_PART)).drop(n)
     rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")

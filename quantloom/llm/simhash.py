@@ -39,6 +39,8 @@ from quantloom.llm._common import delete, joined, raw, saved, scratch_path, smal
 
 WORDS, RADIUS, SEED = 3, 2, 42
 HALF_MOST = 4096
+#: Links that one task can take.
+FEW = 1_000_000
 #: Hashes whose bits are counted at once.
 _BLOCK = 1 << 16
 
@@ -127,9 +129,9 @@ def components(edges: DataFrame) -> DataFrame:
         total = mark[0]
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
-        large = joined(both.where(F.col("v") > F.col("u")), least, ["u"], "n", total).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = joined(both.where(F.col("v") > F.col("u")), least, ["u"], "n", total, FEW).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-        tied = joined(large, least, ["u"], "n", total).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        tied = joined(large, least, ["u"], "n", total, FEW).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         before, old = mark, path
         path = scratch_path(spark, "links")
         edges = saved(tied.distinct(), "links", path)
