@@ -43,7 +43,7 @@ from quantloom.llm._common import small, table_batch
 TRAIN_DOCS = 40
 BLOCK = 512
 #: Characters that are laid out in lanes at once; a longer text is laid out alone.
-SLAB = 4 << 20
+SLAB = 3 << 20
 UNKNOWN = "und"
 _SPACE, _STRANGE, _FIRST = 0, 1, 2
 
@@ -80,19 +80,24 @@ class SuffixAutomaton:
 
 
 class Edges:
-    """An automaton's edges by open addressing. State ``start`` has none: there a phrase begins."""
+    """An automaton's edges by open addressing. State ``start`` has none: there a phrase begins.
+
+    States are numbered in steps of ``width``, so that state + character is an edge's key.
+    """
 
     _FACTOR = np.uint64(0x9E3779B97F4A7C15)
+    #: Lanes up to which the lanes are walked one by one.
+    FEW = 32
 
     def __init__(self, automaton: SuffixAutomaton, width: int):
         states = automaton.edges
-        self.width, self.start = width, len(states)
+        self.start = len(states) * width
         n = sum(map(len, states))
         keys = np.fromiter((s * width + c for s, own in enumerate(states) for c in own), np.int64, n)
-        to = np.fromiter((t for own in states for t in own.values()), np.int32, n)
+        to = np.fromiter((t * width for own in states for t in own.values()), np.int64, n)
         bits = max(4, (2 * n).bit_length())
         self._mask, self._shift = (1 << bits) - 1, np.uint64(64 - bits)
-        self._keys, self._to = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+        self._keys, self._to = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
         left, slots = np.arange(n), self._slots(keys)
         while len(left):
             free = self._keys[slots] < 0
@@ -103,25 +108,47 @@ class Edges:
             rest[placed] = False
             left, slots = left[rest], (slots[rest] + 1) & self._mask
         #: Where a phrase that begins with a character leads; ``start`` if no training text has it.
-        self.root = np.full(width, self.start, np.int32)
+        self.root = np.full(width, self.start, np.int64)
         for c, t in states[0].items():
-            self.root[c] = t
+            self.root[c] = t * width
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.view(np.uint64) * self._FACTOR) >> self._shift).astype(np.int64)
+        return ((keys.view(np.uint64) * self._FACTOR) >> self._shift).view(np.int64)
 
     def step(self, states: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The next states, and whether a phrase begins with the character."""
-        keys = states.astype(np.int64) * self.width + codes
+        keys = states + codes
         slots = self._slots(keys)
-        found = self._keys[slots]
-        going = np.flatnonzero((found != keys) & (found >= 0))
-        while len(going):
-            slots[going] = (slots[going] + 1) & self._mask
-            found[going] = self._keys[slots[going]]
-            going = going[(found[going] != keys[going]) & (found[going] >= 0)]
+        found = self._keys.take(slots)
         missed = found != keys
-        return np.where(missed, self.root[codes], self._to[slots]), missed
+        going = np.flatnonzero(missed)
+        going = going[found[going] >= 0]
+        while len(going):
+            slots[going] = own = (slots[going] + 1) & self._mask
+            found = self._keys.take(own)
+            same = found == keys[going]
+            missed[going[same]] = False
+            going = going[~same & (found >= 0)]
+        out = self._to.take(slots)
+        out[missed] = self.root.take(codes[missed])
+        return out, missed
+
+    def walk(self, state: int, codes: list[int], marks: np.ndarray) -> tuple[int, bool]:
+        """One lane, from ``state`` until a phrase begins where ``marks`` has one: the last state, and whether it met one."""
+        keys, to, root, mask = memoryview(self._keys), memoryview(self._to), memoryview(self.root), self._mask
+        factor, shift, all_bits = int(self._FACTOR), int(self._shift), (1 << 64) - 1
+        for t, c in enumerate(codes):
+            key = state + c
+            slot = (key * factor & all_bits) >> shift
+            while (k := keys[slot]) != key and k >= 0:
+                slot = (slot + 1) & mask
+            if k == key:
+                state, marks[t] = to[slot], False
+            else:
+                if marks[t]:
+                    return state, True
+                state, marks[t] = root[c], True
+        return state, False
 
     def begins(self, whole: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Of each character of the texts, which lie side by side, whether a phrase begins with it."""
@@ -130,10 +157,10 @@ class Edges:
         begin = np.repeat(np.cumsum(sizes) - sizes, lanes) + within * BLOCK
         length = np.minimum(BLOCK, np.repeat(sizes, lanes) - within * BLOCK)
         marks = np.zeros(len(whole), bool)
-        ends = np.full(len(begin), self.start, np.int32)
+        ends = np.full(len(begin), self.start, np.int64)
 
         order = np.argsort(-length, kind="stable")
-        at, state = begin[order], np.full(len(order), self.start, np.int32)
+        at, state = begin[order], np.full(len(order), self.start, np.int64)
         alive = np.searchsorted(-length[order], -np.arange(BLOCK), side="left")
         for t in range(BLOCK):
             k = alive[t]
@@ -149,7 +176,10 @@ class Edges:
             done = np.zeros(len(lane), bool)
             for t in range(BLOCK):
                 open_ = open_[length[lane[open_]] > t]
-                if not len(open_):
+                if len(open_) <= self.FEW:
+                    for k in open_.tolist():
+                        own = slice(begin[lane[k]] + t, begin[lane[k]] + length[lane[k]])
+                        state[k], done[k] = self.walk(int(state[k]), whole[own].tolist(), marks[own])
                     break
                 here = begin[lane[open_]] + t
                 state[open_], begun = self.step(state[open_], whole[here])
@@ -191,7 +221,7 @@ class Model:
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """(languages, texts) numbers of phrases."""
-        whole = np.concatenate(texts) if texts else np.zeros(0, np.uint32)
+        whole = np.concatenate([*texts, np.zeros(0, np.uint32)]).astype(np.int64)
         sizes = np.array([len(t) for t in texts], np.int64)
         ends = np.cumsum(sizes)
         out = np.zeros((len(self.languages), len(texts)), np.int64)

@@ -35,8 +35,9 @@ def test_phrases_are_longest_matches(monkeypatch):
     texts = ["the tree is over there", "schön und größer", "漢字 x", "", "zzz qqq " * 200, "la rest und déjà vu " * 60, *(t for _, t in TRAIN), "über allen gipfeln ist ruh over all the hills " * 9]
     codes = [model.codes(t) for t in texts]
     wanted = [[brute_phrases(c.tolist(), model.codes(t).tolist()) for c in codes] for _, t in TRAIN]
-    for block in (512, 64, 7, 3):
+    for block, few in ((512, 12), (64, 12), (64, 0), (7, 2), (3, 0), (3, 100)):
         monkeypatch.setattr(language_id, "BLOCK", block)
+        monkeypatch.setattr(language_id.Edges, "FEW", few)
         assert model.phrases(codes).tolist() == wanted
 
 
