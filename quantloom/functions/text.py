@@ -18,37 +18,29 @@ from quantloom.functions.nullsafe import col
 
 # --- labels -----------------------------------------------------------------------------
 
-#: O6.4, fixed values: (pattern, replacement), applied in order; Java and Python read them alike.
-LABEL_STEPS = (
-    ("　", " "),
-    (r"^\s+|\s+$", ""),
-    (r"[\[\]]", ""),
-    ("^[ㆍ•·→▶◆■□●○△▷]\\s*", ""),
-    ("^(?:[Ⅰ-ⅿ]+|[IVXLivxl]+(?=[.]))[.]?\\s*", ""),
-    ("^[①-⑳]+[.]?\\s*", ""),
-    ("^(?:[0-9]+|[가-힣])[.]\\s*", ""),
-    (r"^\((?:[0-9]+|[A-Za-z])\)\s*", ""),
-    ("[(<]\\s*(?:주석?|[Nn][Oo][Tt][Ee]s?)\\s*[0-9][0-9,\\s와과및]*[)>]?", ""),
-    (r",[0-9,\s]*>\s*$", ""),
-    ("(?<=[가-힣])\\s+(?=[가-힣])", ""),
-    (r"\s+", " "),
-    (r"^\s+|\s+$", ""),
-)
+# Bullets, circled numbers, and what stands between the numbers of a note reference.
+_BULLETS, _CIRCLED, _AND = "ㆍ•·→▶◆■□●○△▷", "①-⑳", ",\\s와과및"
+#: Roman numerals up to 39, well formed, as letters before a dot or as signs of their own.
+_ROMAN = "(?:X{1,3}(?:IX|IV|V?I{0,3})|IX|IV|VI{0,3}|I{1,3}|x{1,3}(?:ix|iv|v?i{0,3})|ix|iv|vi{0,3}|i{1,3})"
+#: O6.4: a label begins with any number of marks, each with white space after it; one pattern takes them all.
+LABEL_LEAD = f"^\\s*(?:(?:[{_BULLETS}]|[Ⅰ-ⅿ]+[.]?|{_ROMAN}[.]|[{_CIRCLED}]+[.]?|(?:[0-9]+|[가-힣])[.]|[(](?:[0-9]+|[A-Za-z])[)])\\s*)+"
+#: Note references, wherever they stand, and what is left of one whose bracket was cut off at the end.
+LABEL_NOTES = f"[(<]\\s*(?:주석?|[Nn][Oo][Tt][Ee]s?)\\s*[0-9][0-9{_AND}]*[)>]?|,[0-9,\\s]*>\\s*$"
+#: Brackets go, and white space between Hangul, which is only spread out; other white space is one space.
+LABEL_LOOSE = "[\\[\\]]|(?<=[가-힣])\\s+(?=[가-힣])"
 
 
 def label_key(label: Column | str) -> Column:
     """O6.4: the label without numbering, bullets, note references, brackets and loose white space."""
-    out = col(label)
-    for pattern, put in LABEL_STEPS:
-        out = F.regexp_replace(out, pattern, put)
-    return out
+    plain = F.regexp_replace(F.translate(col(label), "　[]", " "), LABEL_LEAD, "")
+    closed = F.regexp_replace(F.regexp_replace(plain, LABEL_NOTES, ""), LABEL_LOOSE, "")
+    return F.trim(F.regexp_replace(closed, "\\s+", " "))
 
 
 def label_key_of(label: str | None) -> str:
-    out = label or ""
-    for pattern, put in LABEL_STEPS:
-        out = re.sub(pattern, put, out)
-    return out
+    """The same for one label, in Python."""
+    plain = re.sub(LABEL_LEAD, "", (label or "").translate({0x3000: " ", ord("["): None, ord("]"): None}))
+    return " ".join(re.sub(LABEL_LOOSE, "", re.sub(LABEL_NOTES, "", plain)).split())
 
 
 # --- amounts ----------------------------------------------------------------------------
@@ -58,7 +50,10 @@ SANE_MOST = 10**16
 _COMPLETE = re.compile(r"[(]?[-−△▲]?\s*(?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\d+)?[)]?")
 _NEGATIVE = re.compile(r"\((?P<a>[^()]*)\)|\(-\)(?P<b>.*)|[-−△▲]+(?P<c>.*)", re.S)
 _BLANK = re.compile(r"[-−–—.\s]*")
-_WON = re.compile(r"\s*원$")
+_WON = re.compile(r"원(?=\)?$)")
+#: A line under a figure, as a cell may hold it.
+_RULE = re.compile(r"[=_═─]+$")
+_DASH = re.compile(r"[-−–—]+")
 _RANGE = re.compile("[~～〜]|부터|까지")
 _PARTS = (
     # What a number broken by spaces looks like; joined only if the whole is well formed.
@@ -80,10 +75,13 @@ def _rejoined(text: str) -> str:
 
 
 def amount(text: str | None, multiplier: int = 1) -> Decimal | None:
-    """O6.5: the exact amount. NULL where the cell doesn't say: blanks, ranges, two different numbers, more than 1e16."""
+    """O6.5: the exact amount. NULL where the cell doesn't say: blanks, ranges, two different numbers, dashes on a line of their own beside a number, more than 1e16."""
     if text is None:
         return None
-    text = _rejoined(text.strip())
+    lines = [part.strip() for part in text.splitlines() if part.strip()]
+    if len(lines) > 1 and any(_DASH.fullmatch(part) for part in lines):
+        return None  # a blank cell run together with another one: no sign
+    text = _rejoined(_RULE.sub("", text.strip()).strip())
     words = text.split()
     if len(words) > 1 and all(_COMPLETE.fullmatch(w) for w in words):
         if len(set(words)) > 1:
@@ -208,13 +206,13 @@ def best_alias(label: str, aliases: list[tuple[str, str]]) -> tuple[str, float]
     return best
 
 
-def map_labels(labels: DataFrame, aliases: DataFrame, blocked: list[str] | None = None, label: str = "label", section: str = "section") -> DataFrame:
-    """O6.1, O6.3, O3.17: (section, label, code, stage, confidence) of each distinct (section, label).
+def map_labels(labels: DataFrame, aliases: DataFrame, blocked: list[str] | None = None, label: str = "label", section: str = "section", most: int = 100_000) -> DataFrame:
+    """O6.1, O3.17: (section, label, code, stage, confidence) of each distinct (section, label).
 
     Stages in order: exact in the section, normalized in the section, exact anywhere, normalized
     anywhere, blocked, fuzzy in the section; below ``ACCEPT`` there is no code. ``aliases``:
     (section, code, alias, place), a dictionary whose size doesn't follow the data; smaller
-    places win ties.
+    places win ties; more than ``most`` entries are an error, since each worker holds them.
     """
     own = labels.select(section, label).where(F.col(label).isNotNull()).distinct().withColumn("__key", label_key(label))
     table = aliases.withColumn("__akey", label_key("alias"))
@@ -231,7 +229,9 @@ def map_labels(labels: DataFrame, aliases: DataFrame, blocked: list[str] | None
         staged = pick(staged, on, within, name)
     stop = F.col("__key").isin(*blocked) if blocked else F.lit(False)
     sure = F.coalesce("c1", "c2", "c3", "c4")
-    rows = [(r[section], r["code"], r["__akey"]) for r in table.select(section, "code", "__akey", "place").orderBy("place").collect()]  # the dictionary
+    rows = [(r[section], r["code"], r["__akey"]) for r in table.select(section, "code", "__akey", "place").orderBy("place").limit(most + 1).collect()]
+    if len(rows) > most:
+        raise ValueError(f"the dictionary has more than {most} entries")
     by_section: dict[str, list[tuple[str, str]]] = {}
     for s, code, key in rows:
         by_section.setdefault(s, []).append((code, key))
@@ -248,3 +248,22 @@ def map_labels(labels: DataFrame, aliases: DataFrame, blocked: list[str] | None
     stage = F.when(F.col("c1").isNotNull(), "exact").when(F.col("c2").isNotNull(), "normalized").when(F.col("c3").isNotNull(), "exact").otherwise(stage)
     confidence = F.when(sure.isNotNull(), 1.0).when(~stop & (F.col("__f.score") >= ACCEPT), F.col("__f.score")).otherwise(0.0)
     return out.select(section, label, F.coalesce(sure, F.when(~stop & (F.col("__f.score") >= ACCEPT), F.col("__f.code"))).alias("code"), stage.alias("stage"), confidence.alias("confidence"))
+
+
+def with_concepts(mapped: DataFrame, lines: DataFrame, concepts: DataFrame, taxonomy: DataFrame, section: str = "section", label: str = "label") -> DataFrame:
+    """O6.3: lines with a code: their own mapping, else their concept's, else what the taxonomy's labels say.
+
+    ``lines``: (section, label, concept, ...); ``concepts``: (concept, code); ``taxonomy``: (label,
+    concept) of the published label index. A taxonomy hit comes before a fuzzy one. stage says which one it was.
+    """
+    by_label = taxonomy.withColumn("__key", label_key("label")).groupBy("__key").agg(F.min("concept").alias("__by_label"))
+    known = concepts.groupBy("concept").agg(F.min("code").alias("code"))
+    own = mapped.select(F.col(section).alias("__s"), F.col(label).alias("__l"), F.col("code").alias("__own"), F.col("stage").alias("__stage"))
+    out = lines.withColumn("__key", label_key(label)).join(own, (F.col(section) == F.col("__s")) & F.col(label).eqNullSafe(F.col("__l")), "left").join(by_label, "__key", "left")
+    out = out.join(known.select("concept", F.col("code").alias("__concept")), "concept", "left").join(known.select(F.col("concept").alias("__by_label"), F.col("code").alias("__taxonomy")), "__by_label", "left")
+    sure = F.when(F.col("__stage").isin("exact", "normalized"), F.col("__own"))
+    fuzzy = F.when(F.col("__stage") == "fuzzy", F.col("__own"))
+    stage = F.when(sure.isNotNull(), F.col("__stage")).when(F.col("__concept").isNotNull(), "concept").when(F.col("__taxonomy").isNotNull(), "taxonomy").when(fuzzy.isNotNull(), "fuzzy").otherwise(F.coalesce("__stage", F.lit("unknown")))
+    blocked = F.col("__stage") == "blocked"
+    code = F.when(~F.coalesce(blocked, F.lit(False)), F.coalesce(sure, F.col("__concept"), F.col("__taxonomy"), fuzzy))
+    return out.select(*lines.columns, code.alias("code"), F.when(blocked, "blocked").otherwise(stage).alias("stage"))

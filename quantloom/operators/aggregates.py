@@ -117,3 +117,14 @@ def mean_and_deviation(df: DataFrame, keys: Keys, value: str, least: int = 2) ->
     """O4.9, O4.10: mean and sample deviation of at least ``least`` values that are not NULL."""
     enough = F.count(value) >= least
     return df.groupBy(*keys).agg(F.when(enough, F.avg(value)).alias("mean"), F.when(enough, F.stddev_samp(value)).alias("deviation"), F.count(value).alias("n"))
+
+
+def percentiles(df: DataFrame, keys: Keys, value: str, points: dict[str, float]) -> DataFrame:
+    """O4.3, O4.4: exact percentiles with linear interpolation; 0.5 is the median."""
+    return df.groupBy(*keys).agg(*(F.percentile(num(value), p).alias(n) for n, p in points.items()), F.count(value).alias("n"))
+
+
+def ordered_ids(df: DataFrame, keys: Keys, item: str, order: str, name: str = "ids") -> DataFrame:
+    """O4.17: a key's items in order, ties by the item itself; NULL items are left out."""
+    pairs = F.array_sort(F.collect_list(F.when(F.col(item).isNotNull(), F.struct(order, item))))
+    return df.groupBy(*keys).agg(F.transform(pairs, lambda p: p[item]).alias(name))

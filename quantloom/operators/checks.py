@@ -21,20 +21,24 @@ class Assertion:
     violations: Callable[[Tables], DataFrame]
 
 
-def run(spark: SparkSession, assertions: Sequence[Assertion], tables: Tables) -> tuple[DataFrame, bool]:
-    """(name, severity, status, n) of each; a check that can't run is SKIP. True if no ERROR check has violations.
+def run(spark: SparkSession, assertions: Sequence[Assertion], tables: Tables) -> tuple[DataFrame, bool | None]:
+    """(name, severity, status, n, reason) of each. Over all: False if an ERROR check has violations, None if one could not run, else True.
 
-    Only counts come to the driver.
+    A check whose tables are missing is SKIP, one that fails while it runs is BROKEN; both keep the
+    reason. Only counts come to the driver.
     """
     out = []
     for a in assertions:
         try:
             n = a.violations(tables).count()
-            out.append((a.name, a.severity, "PASS" if n == 0 else "FAIL", n))
-        except Exception:  # noqa: BLE001  a broken check must not hide the others
-            out.append((a.name, a.severity, "SKIP", None))
-    ok = not any(sev == "ERROR" and status == "FAIL" for _, sev, status, _ in out)
-    return spark.createDataFrame(out, "name string, severity string, status string, n long"), ok
+            out.append((a.name, a.severity, "PASS" if n == 0 else "FAIL", n, None))
+        except KeyError as e:
+            out.append((a.name, a.severity, "SKIP", None, f"no table {e}"))
+        except Exception as e:  # noqa: BLE001  a broken check must not hide the others
+            out.append((a.name, a.severity, "BROKEN", None, f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"[:500]))
+    states = {status for _, severity, status, _, _ in out if severity == "ERROR"}
+    ok = False if "FAIL" in states else None if states & {"SKIP", "BROKEN"} else True
+    return spark.createDataFrame(out, "name string, severity string, status string, n long, reason string"), ok
 
 
 def counts(assertions: Sequence[Assertion], tables: Tables) -> DataFrame:
@@ -209,3 +213,20 @@ def repeats(rows: DataFrame, keys: Keys, order: str, value: str) -> DataFrame:
     """Rows that repeat the value before them in order."""
     w = over(keys, order)
     return rows.withColumn("__b", F.lag(value).over(w)).where(F.col(value).eqNullSafe(F.col("__b")) & F.col(value).isNotNull()).drop("__b")
+
+
+def consolidated_below_half(rows: DataFrame, keys: Keys, basis: str, value: str, consolidated: str, separate: str) -> DataFrame:
+    """O10.10: keys whose consolidated value is below half of the separate one, which is above 0."""
+    of = lambda name: F.max(F.when(F.col(basis) == name, F.col(value)))
+    both = rows.groupBy(*keys).agg(of(consolidated).alias("consolidated"), of(separate).alias("separate"))
+    return both.where((F.col("separate") > 0) & (F.col("consolidated") * 2 < F.col("separate")))
+
+
+def unit_nominations(rows: DataFrame, value: str, median: str, times: Sequence[int] = (1000, 1000000), slack: float = 0.2) -> DataFrame:
+    """O10.26: rows whose value is about 1,000 or 1,000,000 times the neighbours' median, or a part of it: (..., factor)."""
+    ratio = F.abs(num(value)) / F.nullif(F.abs(num(median)), F.lit(0.0))
+    factor = F.lit(None).cast("double")
+    for t in times:
+        for f in (float(t), 1.0 / t):
+            factor = F.when((ratio >= f * (1 - slack)) & (ratio <= f * (1 + slack)), F.lit(f)).otherwise(factor)
+    return rows.withColumn("factor", factor).where(F.col("factor").isNotNull())

@@ -16,7 +16,8 @@ _TABLE = re.compile(r"<table\b[^>]*>(.*?)</table\s*>", re.I | re.S)
 _ROW = re.compile(r"<tr\b[^>]*>(.*?)(?=<tr\b|</table|\Z)", re.I | re.S)
 _CELL = re.compile(r"<t[dh]\b([^>]*)>(.*?)(?=<t[dh]\b|</tr|<tr\b|\Z)", re.I | re.S)
 _SPAN = {k: re.compile(rf"\b{k}\s*=\s*[\"']?(\d+)", re.I) for k in ("rowspan", "colspan")}
-SPAN_MOST = 1000
+#: Fixed values of the HTML standard: larger spans count as these.
+SPAN_MOST = {"rowspan": 65_534, "colspan": 1000}
 
 
 def _text(html: str) -> str:
@@ -47,7 +48,7 @@ def tables_of(html: str | None) -> list[list[list[str]]]:
         for row in _ROW.finditer(table[1]):
             cells = []
             for attributes, inner in _CELL.findall(row[1]):
-                span = {k: min(SPAN_MOST, max(1, int(m[1]))) if (m := p.search(attributes)) else 1 for k, p in _SPAN.items()}
+                span = {k: min(SPAN_MOST[k], max(1, int(m[1]))) if (m := p.search(attributes)) else 1 for k, p in _SPAN.items()}
                 cells.append((_text(inner), span["rowspan"], span["colspan"]))
             rows.append(cells)
         found.append(expanded(rows))

@@ -42,17 +42,23 @@ def asof(left: DataFrame, right: DataFrame, keys: Keys, left_time: str, right_ti
     return found.where(F.col("__side") != 1).select("__row.*", *(F.col("__held")[c].alias(c) for c in (right_time, *values)))
 
 
-def asof_within(left: DataFrame, right: DataFrame, keys: Keys, left_time: str, right_time: str, values: Keys, days: int) -> DataFrame:
-    """O3.5: the newest right row strictly before and at most ``days`` back; NULL beyond."""
-    found = asof(left, right, keys, left_time, right_time, values, strict=True)
+def by_year() -> Column:
+    """Slices of a year for ``asof``: a key's rows of one year are one task's."""
+    return F.year("__t")
+
+
+def asof_within(left: DataFrame, right: DataFrame, keys: Keys, left_time: str, right_time: str, values: Keys, days: int, slice_by: Column | None = None) -> DataFrame:
+    """O3.5: the newest right row strictly before and at most ``days`` back; NULL beyond. By default keys are cut into years."""
+    found = asof(left, right, keys, left_time, right_time, values, strict=True, slice_by=by_year() if slice_by is None else slice_by)
     near = F.datediff(F.col(left_time).cast("date"), F.col(right_time).cast("date")) <= days
     return found.withColumns({c: F.when(near, F.col(c)) for c in (right_time, *values)})
 
 
-def nearest_date(left: DataFrame, right: DataFrame, keys: Keys, left_time: str, right_time: str, value: str, days: int = 7) -> DataFrame:
-    """O3.6: the right row with the smallest gap within ``days``, the earlier one if two are as near."""
-    back = asof(left, right, keys, left_time, right_time, [value]).withColumnsRenamed({right_time: "__t0", value: "__v0"})
-    ahead = asof(back, right, keys, left_time, right_time, [value], forward=True).withColumnsRenamed({right_time: "__t1", value: "__v1"})
+def nearest_date(left: DataFrame, right: DataFrame, keys: Keys, left_time: str, right_time: str, value: str, days: int = 7, slice_by: Column | None = None) -> DataFrame:
+    """O3.6: the right row with the smallest gap within ``days``, the earlier one if two are as near. By default keys are cut into years."""
+    slice_by = by_year() if slice_by is None else slice_by
+    back = asof(left, right, keys, left_time, right_time, [value], slice_by=slice_by).withColumnsRenamed({right_time: "__t0", value: "__v0"})
+    ahead = asof(back, right, keys, left_time, right_time, [value], forward=True, slice_by=slice_by).withColumnsRenamed({right_time: "__t1", value: "__v1"})
     gap = lambda t: F.abs(F.datediff(F.col(left_time).cast("date"), F.col(t).cast("date")))
     ok0, ok1 = F.coalesce(gap("__t0") <= days, F.lit(False)), F.coalesce(gap("__t1") <= days, F.lit(False))
     first = ok0 & (~ok1 | (gap("__t0") <= gap("__t1")))
@@ -60,10 +66,10 @@ def nearest_date(left: DataFrame, right: DataFrame, keys: Keys, left_time: str,
     return ahead.withColumns({right_time: pick("__t0", "__t1"), value: pick("__v0", "__v1")}).drop("__t0", "__t1", "__v0", "__v1")
 
 
-def step_value(left: DataFrame, steps: DataFrame, keys: Keys, left_time: str, start: str, values: Keys) -> DataFrame:
-    """O3.4: the value of a step function whose first step reaches back to 1900, at each left row's time."""
+def step_value(left: DataFrame, steps: DataFrame, keys: Keys, left_time: str, start: str, values: Keys, slice_by: Column | None = None) -> DataFrame:
+    """O3.4: the value of a step function whose first step reaches back to 1900, at each left row's time. By default keys are cut into years."""
     opened = intervals(steps, keys, start).select(*keys, F.col("valid_from").cast("timestamp_ntz").alias("valid_from"), *values)
-    return asof(left, opened, keys, left_time, "valid_from", values)
+    return asof(left, opened, keys, left_time, "valid_from", values, slice_by=by_year() if slice_by is None else slice_by)
 
 
 def snapshot(prices: DataFrame, key: str, day: str, close: str, at: Column, days: int = 20) -> DataFrame:
@@ -153,3 +159,28 @@ def reconcile(source: DataFrame, stored: DataFrame, keys: Keys, value: str, slac
     agree = F.exists("source_values", lambda s: F.exists("stored_values", lambda t: F.abs(s - t) <= slack))
     status = F.when(F.col("stored_values").isNull(), "missing").when(F.col("source_values").isNull(), "extra").when(agree, "match").otherwise("value_diff")
     return own.join(held, list(keys), "full").withColumn("status", status)
+
+
+def full_coalesced(before: DataFrame, after: DataFrame, keys: Keys, columns: Keys) -> DataFrame:
+    """O3.13: both snapshots side by side, keys from whichever side has the row."""
+    side = lambda df, name: df.select(*keys, *(F.col(c).alias(f"{name}_{c}") for c in columns))
+    return side(before, "before").join(side(after, "after"), list(keys), "full")
+
+
+def has_basis(df: DataFrame, keys: Keys, basis: str, wanted: str) -> DataFrame:
+    """O4.1: whether a key has any row of the wanted basis."""
+    return df.groupBy(*keys).agg(F.coalesce(F.bool_or(F.col(basis) == wanted), F.lit(False)).alias("has_basis"))
+
+
+def gone(before: DataFrame, after: DataFrame, keys: Keys) -> DataFrame:
+    """O5.24: keys that were there before and are not any more, once each, NULL a key like others."""
+    return before.select(*keys).subtract(after.select(*keys))
+
+
+def under(*branches: DataFrame) -> DataFrame:
+    """O5.22: the branches one under the other, with the names and types of the first, so that filters reach each scan."""
+    first = branches[0]
+    out = first
+    for b in branches[1:]:
+        out = out.unionAll(b.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in first.schema)))
+    return out

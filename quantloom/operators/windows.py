@@ -11,6 +11,8 @@ from pyspark.sql.window import WindowSpec
 from quantloom.functions.nullsafe import col, num
 
 Keys = Sequence[str]
+#: Slices of a rank over all rows; their edges and sums are RANK_SLICES rows.
+RANK_SLICES = 64
 #: Newest first within a year.
 PERIOD_ORDER = ("FY", "CQ4", "Q3", "CQ3", "H1", "CQ2", "Q1", "CQ1")
 
@@ -93,8 +95,9 @@ def intervals(df: DataFrame, keys: Keys, start: str, first: str = "1900-01-01",
 def rank_min(df: DataFrame, value: str, name: str, keys: Keys = (), descending: bool = True) -> DataFrame:
     """O5.7: 1 + the number of strictly better values; NULL and NaN get no rank.
 
-    Without ``keys`` equal values are counted first and ranks are joined back by value, so that
-    only one row a distinct value passes through the global window.
+    Without ``keys`` equal values are counted first and ranks are joined back by value. The
+    distinct values are ranked within ``RANK_SLICES`` slices of equal hash-sampled size, and the slices' sums
+    are carried on, so that no task orders all values.
     """
     v = num(value)
     known = F.when(v.isNotNull() & ~F.isnan(v), v)
@@ -103,8 +106,14 @@ def rank_min(df: DataFrame, value: str, name: str, keys: Keys = (), descending:
         return df.withColumn(name, F.when(known.isNotNull(), F.rank().over(over(keys, order))))
     counts = df.where(known.isNotNull()).groupBy(known.alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
     order = F.col("__v").desc() if descending else F.col("__v").asc()
-    before = F.sum("__n").over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
-    ranks = counts.select("__v", (F.coalesce(before, F.lit(0)) + 1).cast("int").alias(name))
+    edges = counts.agg(F.percentile_approx("__v", [k / RANK_SLICES for k in range(1, RANK_SLICES)]).alias("__edges"))
+    # One row: the edges of the slices. Equal values are in one slice, whatever the edges are.
+    sliced = counts.crossJoin(F.broadcast(edges)).withColumn("__slice", F.size(F.filter("__edges", lambda e: e < F.col("__v")))).drop("__edges")
+    sums = sliced.groupBy("__slice").agg(F.sum("__n").alias("__all"))
+    slices = F.col("__slice").desc() if descending else F.col("__slice").asc()
+    carried = sums.withColumn("__carry", F.coalesce(F.sum("__all").over(Window.orderBy(slices).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__all")
+    before = F.coalesce(F.sum("__n").over(over(["__slice"], order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranks = sliced.withColumn("__before", before).join(F.broadcast(carried), "__slice").select("__v", (F.col("__before") + F.col("__carry") + 1).cast("int").alias(name))
     return df.withColumn("__own", known).join(ranks, F.col("__own") == F.col("__v"), "left").drop("__own", "__v")
 
 
@@ -139,3 +148,17 @@ def ordered(df: DataFrame, by: str, descending: bool = True, screen: bool = Fals
 def median_of_three(a: Column, b: Column, c: Column) -> Column:
     """O5.21."""
     return F.get(F.sort_array(F.array(a, b, c)), F.lit(1))
+
+
+def latest_filing(df: DataFrame, keys: Keys, is_final: str = "is_final", filed_at: str = "filed_at", filing: str = "rcept") -> DataFrame:
+    """O5.15: of a key's filings the final one, of several the one filed last (unknown times last), then the largest number."""
+    return top_n(df, keys, [F.col(is_final).desc(), F.col(filed_at).desc_nulls_last(), F.col(filing).desc()])
+
+
+def sampled(df: DataFrame, keys: Keys, share: float) -> DataFrame:
+    """O5.26: about ``share`` of the rows, for diagnosis: those whose keys' md5 begins low, the same ones every time."""
+    if not 0 <= share <= 1:
+        raise ValueError("a share is between 0 and 1")
+    bound = f"{min(int(share * 16**8), 16**8 - 1):08x}"
+    low = F.substring(F.md5(F.concat_ws("|", *(F.col(k).cast("string") for k in keys))), 1, 8) < bound
+    return df if share == 1 else df.where(low)

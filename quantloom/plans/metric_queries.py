@@ -235,10 +235,10 @@ def quant(spark, sf_dir):
         current_ratio, CASE WHEN current_ratio IS NOT NULL AND n2 >= 3 THEN m2 END AS current_ratio_median,
         CASE WHEN current_ratio IS NOT NULL AND n2 >= 3 THEN (SELECT count(*) FROM s y WHERE y.sector = s.sector AND y.current_ratio < s.current_ratio) * 100.0 / n2 END AS current_ratio_percentile
       FROM s JOIN (SELECT sector, count(*) AS n_sector, median(op_margin) AS m1, count(op_margin) AS n1, median(current_ratio) AS m2, count(current_ratio) AS n2 FROM s GROUP BY sector) USING (sector) WHERE n_sector - 1 >= 3""",
-    f"{PAIRED}, {SQL_SECTORS}, s AS (SELECT sector, x.* FROM (SELECT * FROM ({sql_ratios()}) WHERE fy = 2000) x JOIN sectors USING (corp))",
+    f"{PAIRED}, {SQL_SECTORS}, s AS (SELECT sector || ' ' || x.fy AS sector, x.* EXCLUDE (fy) FROM ({sql_ratios()}) x JOIN sectors USING (corp))",
 )
 def peers(spark, sf_dir):
-    rows = _ratios(spark, sf_dir).where("fy = 2000").join(sectors(spark, sf_dir), "corp")
+    rows = _ratios(spark, sf_dir).join(sectors(spark, sf_dir), "corp").withColumn("sector", F.concat_ws(" ", "sector", F.col("fy").cast("string")))
     return aggregates.peer_medians(rows, "sector", "corp", ["op_margin", "current_ratio"])
 
 

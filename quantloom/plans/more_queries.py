@@ -63,9 +63,9 @@ def period_order(spark, sf_dir):
     return windows.top_n(rows, ["corp"], [F.col("fy").desc(), windows.period_rank("period")], 10**9, rank="place")
 
 
-@query("o5_09_universe_rank", "corp #market_cap #place", "SELECT corp, market_cap, row_number() OVER (PARTITION BY fy ORDER BY market_cap DESC NULLS LAST, corp) AS place FROM a WHERE fy = 1999", A)
+@query("o5_09_universe_rank", "corp #fy #market_cap #place", "SELECT corp, fy, market_cap, row_number() OVER (PARTITION BY fy ORDER BY market_cap DESC NULLS LAST, corp) AS place FROM a", A)
 def universe_rank(spark, sf_dir):
-    return windows.top_n(annual(spark, sf_dir).where("fy = 1999"), ["fy"], [F.col("market_cap").desc_nulls_last(), F.col("corp")], 10**9, rank="place")
+    return windows.top_n(annual(spark, sf_dir), ["fy"], [F.col("market_cap").desc_nulls_last(), F.col("corp")], 10**9, rank="place")
 
 
 @query("o5_16_active_events", "#user_id event_type %active", "SELECT user_id, event_type, arg_max(value >= 20, (ts, event_id)) AS active FROM events GROUP BY 1, 2")
@@ -79,9 +79,9 @@ def previous_by_place(spark, sf_dir):
     return windows.with_previous(quarterly(spark, sf_dir), ["corp"], [F.col("fy"), F.col("q")], ["revenue"], 4)
 
 
-@query("o5_17_screen_order", "corp #fy #net_debt", "SELECT corp, fy, net_debt FROM a ORDER BY net_debt DESC NULLS FIRST, corp, fy LIMIT 200", A)
+@query("o5_17_screen_order", "corp #fy #net_debt", "SELECT corp, fy, net_debt FROM a ORDER BY net_debt DESC NULLS FIRST, corp, fy", A)
 def screen_order(spark, sf_dir):
-    return windows.ordered(annual(spark, sf_dir), "net_debt", screen=True, ties=["corp", "fy"]).limit(200)
+    return windows.ordered(annual(spark, sf_dir), "net_debt", screen=True, ties=["corp", "fy"])
 
 
 @query("o6_06_units", "#o_orderkey #unit", "SELECT o_orderkey, CASE o_orderkey % 7 WHEN 0 THEN 1 WHEN 1 THEN 1000 WHEN 2 THEN 1000000 WHEN 3 THEN 100000000 WHEN 4 THEN NULL WHEN 5 THEN NULL WHEN 6 THEN 1000000000000 END AS unit FROM orders")
@@ -92,9 +92,9 @@ def units(spark, sf_dir):
 
 
 def _versions(spark, sf_dir):
-    lines = read(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_linenumber", "l_returnflag").agg(F.sum(F.floor("l_quantity").cast("long")).alias("value"))
+    lines = read(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_linenumber").agg(F.sum(F.floor("l_quantity").cast("long")).alias("value"))
     k = F.col("l_suppkey") + F.col("l_linenumber")
-    base = lines.where("l_returnflag = 'A'").select("l_suppkey", F.col("l_linenumber").alias("place"), F.lit("t").alias("track"), "value", F.concat(F.lit("line "), F.col("l_linenumber").cast("string"), F.when(k % 4 == 1, " gain").otherwise("")).alias("label"), F.concat(F.lit("acct"), (F.col("l_linenumber") % 5).cast("string")).alias("code"))
+    base = lines.select("l_suppkey", F.col("l_linenumber").alias("place"), F.lit("t").alias("track"), "value", F.concat(F.lit("line "), F.col("l_linenumber").cast("string"), F.when(k % 4 == 1, " gain").otherwise("")).alias("label"), F.concat(F.lit("acct"), (F.col("l_linenumber") % 5).cast("string")).alias("code"))
     k = F.col("l_suppkey") + F.col("place")
     later = base.withColumns({"label": F.when(k % 4 == 0, F.concat("label", F.lit(" renamed"))).when(k % 4 == 1, F.regexp_replace("label", " gain", " loss")).otherwise(F.col("label")), "value": F.when(k % 4 == 1, F.col("value") + 1).otherwise(F.col("value"))})
     return base, later
@@ -105,7 +105,7 @@ def _versions(spark, sf_dir):
     "#l_suppkey label new_label how",
     """SELECT * FROM (SELECT o.l_suppkey, o.label, w.label AS new_label, 'position' AS how FROM o JOIN w ON o.l_suppkey = w.l_suppkey AND o.place = w.place AND o.value = w.value WHERE o.label <> w.label AND NOT EXISTS (SELECT 1 FROM o z WHERE z.l_suppkey = w.l_suppkey AND z.code = w.code AND z.value <> w.value)
        UNION ALL SELECT o.l_suppkey, o.label, w.label, 'sign word' FROM o JOIN w ON o.l_suppkey = w.l_suppkey AND o.place = w.place WHERE (o.l_suppkey + o.place) % 4 = 1)""",
-    "o AS (SELECT l_suppkey, l_linenumber AS place, sum(floor(l_quantity)::BIGINT)::BIGINT AS value, 'line ' || l_linenumber || CASE WHEN (l_suppkey + l_linenumber) % 4 = 1 THEN ' gain' ELSE '' END AS label, 'acct' || (l_linenumber % 5) AS code FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1, 2), w AS (SELECT l_suppkey, place, CASE WHEN (l_suppkey + place) % 4 = 1 THEN value + 1 ELSE value END AS value, CASE WHEN (l_suppkey + place) % 4 = 0 THEN label || ' renamed' WHEN (l_suppkey + place) % 4 = 1 THEN replace(label, ' gain', ' loss') ELSE label END AS label, code FROM o)",
+    "o AS (SELECT l_suppkey, l_linenumber AS place, sum(floor(l_quantity)::BIGINT)::BIGINT AS value, 'line ' || l_linenumber || CASE WHEN (l_suppkey + l_linenumber) % 4 = 1 THEN ' gain' ELSE '' END AS label, 'acct' || (l_linenumber % 5) AS code FROM lineitem GROUP BY 1, 2), w AS (SELECT l_suppkey, place, CASE WHEN (l_suppkey + place) % 4 = 1 THEN value + 1 ELSE value END AS value, CASE WHEN (l_suppkey + place) % 4 = 0 THEN label || ' renamed' WHEN (l_suppkey + place) % 4 = 1 THEN replace(label, ' gain', ' loss') ELSE label END AS label, code FROM o)",
 )
 def relabelled(spark, sf_dir):
     return standardize.relabelled(*_versions(spark, sf_dir), ["l_suppkey"])
@@ -194,21 +194,21 @@ def unit_overrides(spark, sf_dir):
     return standardize.unit_overrides(rows, fixes, ["corp", "fy"])
 
 
-@query("o6_43_note_depreciation", "#l_suppkey topic #table_seq #total", "SELECT * FROM (SELECT l_suppkey, topic, l_linenumber AS table_seq, sum(floor(l_quantity)::BIGINT)::BIGINT AS total FROM (SELECT *, CASE l_returnflag WHEN 'A' THEN 'costs' WHEN 'N' THEN 'cash flow' ELSE 'other' END AS topic FROM lineitem WHERE l_quantity < 30) WHERE topic <> 'other' AND (l_suppkey + l_linenumber) % 3 <> 0 GROUP BY 1, 2, 3) QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY CASE topic WHEN 'cash flow' THEN 1 ELSE 2 END, abs(total) DESC, table_seq) = 1")
+@query("o6_43_note_depreciation", "#l_suppkey topic #table_seq #total", "SELECT * FROM (SELECT l_suppkey, topic, l_linenumber AS table_seq, sum(floor(l_quantity)::BIGINT)::BIGINT AS total FROM (SELECT *, CASE l_returnflag WHEN 'A' THEN 'costs' WHEN 'N' THEN 'cash flow' ELSE 'other' END AS topic FROM lineitem) WHERE topic <> 'other' AND (l_suppkey + l_linenumber) % 3 <> 0 GROUP BY 1, 2, 3) QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY CASE topic WHEN 'cash flow' THEN 1 ELSE 2 END, abs(total) DESC, table_seq) = 1")
 def note_depreciation(spark, sf_dir):
-    c = read(spark, sf_dir, "lineitem").where("l_quantity < 30").select("l_suppkey", F.when(F.col("l_returnflag") == "A", "costs").when(F.col("l_returnflag") == "N", "cash flow").otherwise("other").alias("topic"), F.col("l_linenumber").alias("table_seq"), F.floor("l_quantity").cast("long").alias("value"), F.when((F.col("l_suppkey") + F.col("l_linenumber")) % 3 == 0, "Rent").otherwise("Depreciation of plant").alias("label"))
+    c = read(spark, sf_dir, "lineitem").select("l_suppkey", F.when(F.col("l_returnflag") == "A", "costs").when(F.col("l_returnflag") == "N", "cash flow").otherwise("other").alias("topic"), F.col("l_linenumber").alias("table_seq"), F.floor("l_quantity").cast("long").alias("value"), F.when((F.col("l_suppkey") + F.col("l_linenumber")) % 3 == 0, "Rent").otherwise("Depreciation of plant").alias("label"))
     return standardize.note_depreciation(c, ["l_suppkey"], ["cash flow", "costs"])
 
 
-@query("o6_44_period_groups", "#l_suppkey #l_linenumber #period_group #period_place", "SELECT l_suppkey, l_linenumber, g AS period_group, row_number() OVER (PARTITION BY l_suppkey, g ORDER BY l_linenumber) AS period_place FROM (SELECT *, sum(CASE WHEN coalesce(len(labels) >= 3 AND len(b) >= 3 AND len(list_intersect(labels, b)) / len(list_distinct(list_concat(labels, b)))::DOUBLE >= 0.6, false) THEN 0 ELSE 1 END) OVER (PARTITION BY l_suppkey ORDER BY l_linenumber) AS g FROM (SELECT *, lag(labels) OVER (PARTITION BY l_suppkey ORDER BY l_linenumber) AS b FROM (SELECT l_suppkey, l_linenumber, list(DISTINCT floor(l_discount * 100)::INT || l_returnflag) AS labels FROM lineitem WHERE l_quantity < 8 GROUP BY 1, 2)))")
+@query("o6_44_period_groups", "#l_suppkey #l_linenumber #period_group #period_place", "SELECT l_suppkey, l_linenumber, g AS period_group, row_number() OVER (PARTITION BY l_suppkey, g ORDER BY l_linenumber) AS period_place FROM (SELECT *, sum(CASE WHEN coalesce(len(labels) >= 3 AND len(b) >= 3 AND len(list_intersect(labels, b)) / len(list_distinct(list_concat(labels, b)))::DOUBLE >= 0.6, false) THEN 0 ELSE 1 END) OVER (PARTITION BY l_suppkey ORDER BY l_linenumber) AS g FROM (SELECT *, lag(labels) OVER (PARTITION BY l_suppkey ORDER BY l_linenumber) AS b FROM (SELECT l_suppkey, l_linenumber, list(DISTINCT floor(l_discount * 100)::INT || l_returnflag || floor(l_quantity / 9)::INT) AS labels FROM lineitem GROUP BY 1, 2)))")
 def period_groups(spark, sf_dir):
-    t = read(spark, sf_dir, "lineitem").where("l_quantity < 8").groupBy("l_suppkey", "l_linenumber").agg(F.collect_set(F.concat(F.floor(F.col("l_discount") * 100).cast("int").cast("string"), "l_returnflag")).alias("labels"))
+    t = read(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_linenumber").agg(F.collect_set(F.concat(F.floor(F.col("l_discount") * 100).cast("int").cast("string"), "l_returnflag", F.floor(F.col("l_quantity") / 9).cast("int").cast("string"))).alias("labels"))
     return standardize.period_columns(t, ["l_suppkey"], "l_linenumber")
 
 
-@query("o6_45_one_offs", "#l_suppkey item #total", "WITH c AS (SELECT l_suppkey, CASE l_linestatus WHEN 'F' THEN 'impairment' ELSE 'disposal' END AS item, CASE WHEN l_returnflag = 'A' AND l_suppkey % 3 > 0 THEN 'IS' ELSE 'note' END AS source, l_linenumber AS t, floor(l_quantity)::BIGINT AS v FROM lineitem WHERE l_quantity < 20), b AS (SELECT l_suppkey, item, sum(v)::BIGINT AS total FROM c WHERE source = 'IS' GROUP BY 1, 2) SELECT * FROM b UNION ALL SELECT l_suppkey, item, total FROM (SELECT l_suppkey, item, t, sum(v)::BIGINT AS total FROM c WHERE source = 'note' GROUP BY 1, 2, 3 QUALIFY row_number() OVER (PARTITION BY l_suppkey, item ORDER BY t) = 1) WHERE (l_suppkey, item) NOT IN (SELECT (l_suppkey, item) FROM b)")
+@query("o6_45_one_offs", "#l_suppkey item #total", "WITH c AS (SELECT l_suppkey, CASE l_linestatus WHEN 'F' THEN 'impairment' ELSE 'disposal' END AS item, CASE WHEN l_returnflag = 'A' AND l_suppkey % 3 > 0 THEN 'IS' ELSE 'note' END AS source, l_linenumber AS t, floor(l_quantity)::BIGINT AS v FROM lineitem), b AS (SELECT l_suppkey, item, sum(v)::BIGINT AS total FROM c WHERE source = 'IS' GROUP BY 1, 2) SELECT * FROM b UNION ALL SELECT l_suppkey, item, total FROM (SELECT l_suppkey, item, t, sum(v)::BIGINT AS total FROM c WHERE source = 'note' GROUP BY 1, 2, 3 QUALIFY row_number() OVER (PARTITION BY l_suppkey, item ORDER BY t) = 1) WHERE (l_suppkey, item) NOT IN (SELECT (l_suppkey, item) FROM b)")
 def one_offs(spark, sf_dir):
-    c = read(spark, sf_dir, "lineitem").where("l_quantity < 20").select("l_suppkey", F.when(F.col("l_linestatus") == "F", "Impairment of goodwill").otherwise("Gain on disposal").alias("label"), F.when((F.col("l_returnflag") == "A") & (F.col("l_suppkey") % 3 > 0), "IS").otherwise("note").alias("source"), F.col("l_linenumber").alias("table_seq"), F.floor("l_quantity").cast("long").alias("value"))
+    c = read(spark, sf_dir, "lineitem").select("l_suppkey", F.when(F.col("l_linestatus") == "F", "Impairment of goodwill").otherwise("Gain on disposal").alias("label"), F.when((F.col("l_returnflag") == "A") & (F.col("l_suppkey") % 3 > 0), "IS").otherwise("note").alias("source"), F.col("l_linenumber").alias("table_seq"), F.floor("l_quantity").cast("long").alias("value"))
     return standardize.one_off_totals(c, ["l_suppkey"], {"impairment": "(?i)impairment", "disposal": "(?i)disposal"})
 
 
@@ -265,9 +265,9 @@ def derived_series(spark, sf_dir):
     return reads.derived_series(out, ["corp"], order, "ttm", "fcf", name="ttm")
 
 
-@query("o8_24_comparison", "corp metric ~value #place %best", "SELECT corp, metric, value, CASE WHEN value IS NOT NULL THEN rank() OVER (PARTITION BY metric ORDER BY CASE metric WHEN 'net_debt' THEN -value ELSE value END DESC NULLS LAST) END AS place, CASE WHEN value IS NOT NULL THEN rank() OVER (PARTITION BY metric ORDER BY CASE metric WHEN 'net_debt' THEN -value ELSE value END DESC NULLS LAST) = 1 END AS best FROM (SELECT corp, unnest(['revenue', 'net_debt']) AS metric, unnest([revenue, net_debt]) AS value FROM a WHERE fy = 1999 AND corp LIKE '1%')", A)
+@query("o8_24_comparison", "corp #fy metric ~value #place %best", "SELECT corp, fy, metric, value, CASE WHEN value IS NOT NULL THEN rank() OVER (PARTITION BY fy, metric ORDER BY CASE metric WHEN 'net_debt' THEN -value ELSE value END DESC NULLS LAST) END AS place, CASE WHEN value IS NOT NULL THEN rank() OVER (PARTITION BY fy, metric ORDER BY CASE metric WHEN 'net_debt' THEN -value ELSE value END DESC NULLS LAST) = 1 END AS best FROM (SELECT corp, fy, unnest(['revenue', 'net_debt']) AS metric, unnest([revenue, net_debt]) AS value FROM a)", A)
 def comparison(spark, sf_dir):
-    return reads.comparison(annual(spark, sf_dir).where("fy = 1999 AND corp LIKE '1%'").select("corp", "revenue", "net_debt"), "corp", {"revenue": True, "net_debt": False})
+    return reads.comparison(annual(spark, sf_dir).select("corp", "fy", "revenue", "net_debt"), "corp", {"revenue": True, "net_debt": False}, ["fy"])
 
 
 @query("o9_03_quarter_window", "corp #n_rows #newest_revenue", "SELECT corp, count(*) AS n_rows, max(CASE WHEN r = 1 THEN revenue END) AS newest_revenue FROM (SELECT *, row_number() OVER (PARTITION BY corp ORDER BY fy DESC, q DESC) AS r FROM qs WHERE data_quality < 3) WHERE r <= 9 GROUP BY corp", Q)

@@ -29,12 +29,12 @@ def derived_series(rows: DataFrame, keys: Keys, order: list[Column], op: str, a:
     return rows.withColumn(name, value)
 
 
-def comparison(rows: DataFrame, key: str, metrics: dict[str, bool]) -> DataFrame:
-    """O8.24: several companies side by side: (metric, key, value, place, best); ``metrics``: whether more is better."""
-    long = rows.unpivot([key], list(metrics), "metric", "value")
+def comparison(rows: DataFrame, key: str, metrics: dict[str, bool], within: Keys = ()) -> DataFrame:
+    """O8.24: companies side by side, each group of ``within`` on its own: (within, metric, key, value, place, best); ``metrics``: whether more is better."""
+    long = rows.unpivot([*within, key], list(metrics), "metric", "value")
     more = F.col("metric").isin([m for m, up in metrics.items() if up])
     signed = long.withColumn("__s", F.when(more, F.col("value")).otherwise(-F.col("value")))
-    return rank_min(signed, "__s", "place", ["metric"]).withColumn("best", F.col("place") == 1).drop("__s")
+    return rank_min(signed, "__s", "place", [*within, "metric"]).withColumn("best", F.col("place") == 1).drop("__s")
 
 
 def missing_sections(rows: DataFrame, keys: Keys, sibling: str, section: str) -> DataFrame:
@@ -84,3 +84,18 @@ def sector_key(code: Column) -> Column:
 
 def is_finance(code: Column) -> Column:
     return sector_key(code).isin("64", "65", "66")
+
+
+#: O8.25: what a printed unit is multiplied by.
+SCALES = {"percent": 0.01, "million": 1e6, "thousand": 1e3, "plain": 1.0}
+
+
+def extended_frame(facts: DataFrame, keys: Keys, columns: dict[str, tuple[str, str]]) -> DataFrame:
+    """O8.25: extended facts (keys, code, value) as one row a key; ``columns``: name -> (code, unit), scaled to plain numbers."""
+    return facts.groupBy(*keys).agg(*(F.max(F.when(F.col("code") == code, num("value") * SCALES[unit])).alias(name) for name, (code, unit) in columns.items()))
+
+
+def dividend_frame(facts: DataFrame, keys: Keys) -> DataFrame:
+    """O8.25: dividends a share and in all, payout and yield as fractions, and the payout that follows from the total where none is printed."""
+    wide = extended_frame(facts, keys, {"dps": ("dps", "plain"), "dividends": ("dividends", "million"), "payout": ("payout", "percent"), "dividend_yield": ("yield", "percent"), "net_income": ("net_income", "million")})
+    return wide.withColumn("payout", F.coalesce("payout", F.when(F.col("net_income") > 0, safe_div("dividends", "net_income")))).drop("net_income")

@@ -6,13 +6,12 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantloom.functions import metrics
 from quantloom.functions.nullsafe import cagr, growth, turn
-from quantloom.operators.windows import Keys, ordered, rank_min, top_n, ttm, with_previous
-from quantloom.plans.tables import written
+from quantloom.operators.windows import Keys, ordered, top_n, ttm, with_previous
 
 _CONDITION = re.compile(r"\s*(>=|<=|>|<|==|=)\s*(-?\d+(?:\.\d+)?)\s*(%?)\s*")
 _OPS = {">=": "gte", "<=": "lte", ">": "gt", "<": "lt", "==": "eq", "=": "eq"}
@@ -116,12 +115,15 @@ def base_frame(rows: DataFrame, key: str, newest_first: Sequence[Column], newest
 
 
 def magic_rank(frame: DataFrame) -> DataFrame:
-    """O8.11: rank by yield plus rank by return on capital, both needed, ranked again, smallest first."""
+    """O8.11: rank by yield plus rank by return on capital, both needed, ranked again, smallest first.
+
+    The frame has a row per company, of which any market has some thousands, so it is ordered as a
+    whole, in one pass; for ranks over more rows than that there is ``windows.rank_min``.
+    """
     both = F.col("earnings_yield").isNotNull() & F.col("return_on_capital").isNotNull()
-    # Each rank reads the frame twice; it has a row per company, so it is written rather than computed eight times.
-    marked = written(frame, "screen-base").withColumns({"__ey": F.when(both, F.col("earnings_yield")), "__rc": F.when(both, F.col("return_on_capital"))})
-    ranked = rank_min(rank_min(marked, "__ey", "__r1"), "__rc", "__r2").withColumn("__sum", F.col("__r1") + F.col("__r2"))
-    return rank_min(ranked, "__sum", "magic_rank", descending=False).drop("__ey", "__rc", "__r1", "__r2", "__sum")
+    place = lambda c: F.when(both, F.rank().over(Window.orderBy(F.when(both, F.col(c)).desc_nulls_last())))
+    summed = frame.withColumn("__sum", place("earnings_yield") + place("return_on_capital"))
+    return summed.withColumn("magic_rank", F.when(F.col("__sum").isNotNull(), F.rank().over(Window.orderBy(F.col("__sum").asc_nulls_last())))).drop("__sum")
 
 
 @dataclass(frozen=True)

@@ -39,10 +39,11 @@ def sector_join(spark, sf_dir):
     return annual(spark, sf_dir).join(sectors(spark, sf_dir), "corp")
 
 
-@query("o3_20_common_days", "%day #close #other", "SELECT x.day, x.close, y.close AS other FROM p x JOIN p y USING (day) WHERE x.code = 1 AND y.code = 2", P)
+@query("o3_20_common_days", "#code %day #close #other", "SELECT x.code, x.day, x.close, y.close AS other FROM p x JOIN p y ON x.day = y.day AND y.code = x.code + 1", P)
 def common_days(spark, sf_dir):
-    p = prices(spark, sf_dir)
-    return p.where("code = 1").select("day", "close").join(p.where("code = 2").select("day", F.col("close").alias("other")), "day")
+    """Every stock and the next one, on the days that both have."""
+    p = prices(spark, sf_dir).select("code", "day", "close")
+    return p.join(p.select((F.col("code") - 1).alias("code"), "day", F.col("close").alias("other")), ["code", "day"])
 
 
 @query("o4_02_count_filter", "l_returnflag #n_small #n_late", "SELECT l_returnflag, count(*) FILTER (l_quantity < 10) AS n_small, count(*) FILTER (l_shipdate >= TIMESTAMP '2000-01-01') AS n_late FROM lineitem GROUP BY 1")

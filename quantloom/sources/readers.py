@@ -30,11 +30,13 @@ def title_period(title: Column) -> tuple[Column, Column, Column]:
     return kind, F.regexp_extract(title, closing, 1).try_cast("int"), F.regexp_extract(title, closing, 2).try_cast("int")
 
 
-def disclosure_list(spark: SparkSession, path: str) -> DataFrame:
-    """O1.2: filings from JSON lines (rcept, corp_code, title, filed_at), one a line; broken lines go."""
+def disclosure_list(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """O1.2: filings from JSON lines (rcept, corp_code, title, filed_at), one a line; beside them the lines that are broken or have no rcept."""
     raw = spark.read.schema("rcept string, corp_code string, title string, filed_at string, _broken string").option("columnNameOfCorruptRecord", "_broken").json(path)
     kind, year, month = title_period(F.col("title"))
-    return raw.where(F.col("rcept").isNotNull()).select("rcept", "corp_code", kind.alias("filing_type"), year.alias("close_year"), month.alias("close_month"), "title", F.col("filed_at").try_cast("timestamp_ntz").alias("filed_at"), F.lower("title").contains("정정").alias("is_amendment"))
+    bad = F.col("_broken").isNotNull() | F.col("rcept").isNull()
+    good = raw.where(~bad).select("rcept", "corp_code", kind.alias("filing_type"), year.alias("close_year"), month.alias("close_month"), "title", F.col("filed_at").try_cast("timestamp_ntz").alias("filed_at"), F.lower("title").contains("정정").alias("is_amendment"))
+    return good, raw.where(bad).select(F.coalesce("_broken", F.to_json(F.struct("corp_code", "title", "filed_at"))).alias("line"))
 
 
 CELLS = "path string, table_ord int, row_ord int, col_ord int, label string, header string, text string"

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,17 +51,27 @@ class Presets:
 
 
 class Snapshots:
-    """O1.13: frames kept by the id of the snapshot they read; a new id drops the old ones."""
-
-    def __init__(self):
-        self._held: dict[str, tuple[str, DataFrame]] = {}
-
-    def get(self, name: str, snapshot: str, make) -> DataFrame:
-        held = self._held.get(name)
-        if held and held[0] == snapshot:
-            return held[1]
-        if held:
-            held[1].unpersist()
-        df = make().persist()
-        self._held[name] = (snapshot, df)
-        return df
+    """O1.13: frames kept by the id of the snapshot they read; a new id drops the old ones.
+
+    ``most`` frames are kept at once, those used last; a frame older than ``seconds`` is made anew.
+    """
+
+    def __init__(self, most: int = 32, seconds: float = 1800, clock: Callable[[], float] = time.monotonic):
+        self.most, self.seconds, self.clock = most, seconds, clock
+        self._held: dict[str, tuple[str, float, DataFrame]] = {}
+
+    def get(self, name: str, snapshot: str, make: Callable[[], DataFrame]) -> DataFrame:
+        held, now = self._held.pop(name, None), self.clock()
+        if held and (held[0] != snapshot or now - held[1] > self.seconds):
+            held[2].unpersist()
+            held = None
+        if not held:
+            held = (snapshot, now, make().persist())
+        self._held[name] = held  # the last one used comes last
+        while len(self._held) > self.most:
+            self._held.pop(next(iter(self._held)))[2].unpersist()
+        return held[2]
+
+    def clear(self) -> None:
+        while self._held:
+            self._held.popitem()[1][2].unpersist()

@@ -73,6 +73,88 @@ def upserting(table: Versions, keys: Sequence[str], keep_when_null: Sequence[str
     return each
 
 
+def newest(table: Versions, keys: Sequence[str], seq: str) -> Callable[[DataFrame, int], None]:
+    """O12.1: the row with the largest ``seq`` by key over all batches, whatever order they come in."""
+
+    def each(batch: DataFrame, number: int) -> None:
+        both = table.read(before=number).unionByName(batch.select(*table.schema.names))
+        rest = [c for c in table.schema.names if c not in keys]
+        table.write(both.groupBy(*keys).agg(F.max_by(F.struct(*rest), seq).alias("__r")).select(*keys, "__r.*"), number)
+
+    return each
+
+
+def refetched(stored: DataFrame, fetched: DataFrame, keys: Sequence[str], day: str, days: int = 15) -> DataFrame:
+    """O12.4: what was fetched for the last ``days`` days overwrites what is stored; older days stay as they are."""
+    last = stored.agg(F.max(day).alias("__last"))  # one row
+    recent = fetched.crossJoin(F.broadcast(last)).where(F.col(day) > F.date_sub("__last", days)).drop("__last")
+    return upsert(stored, recent, [*keys, day])
+
+
+def progress(log: Versions, keys: Sequence[str], kind: str, kinds: Sequence[str], name: str = "n") -> Callable[[DataFrame, int], None]:
+    """O12.5: a row for each of ``keys`` that a batch has and each of ``kinds``, with how many rows came so far, 0 included."""
+
+    def each(batch: DataFrame, number: int) -> None:
+        asked = batch.select(*keys).distinct().withColumn(kind, F.explode(F.array(*map(F.lit, kinds))))
+        seen = batch.groupBy(*keys, kind).agg(F.count(F.lit(1)).alias(name))
+        now = asked.join(seen, [*keys, kind], "left").select(*keys, kind, F.coalesce(name, F.lit(0)).alias(name))
+        log.write(log.read(before=number).unionByName(now).groupBy(*keys, kind).agg(F.sum(name).alias(name)), number)
+
+    return each
+
+
+#: What an event does to a slot: claims it, ends its work well or badly, or says that it is still being worked on.
+LEASE_EVENTS = {"view": "claim", "purchase": "done", "error": "fail", "click": "alive"}
+
+
+def lease_step(status: str, attempts: int, until: float, what: str | None, at: float, lease: float = 6 * 3600.0, most: int = 3) -> tuple[str, int, float]:
+    """O12.7: pending -> leased -> done, or after ``most`` failed or run-out attempts -> dead.
+
+    A lease that has run out before the event makes the slot pending again (a failed attempt). A claim
+    takes a pending slot only; a sign of life prolongs a lease; done and dead are final.
+    """
+    if status == "leased" and at > until:
+        status = "dead" if attempts >= most else "pending"
+    if status == "pending" and what == "claim":
+        return "leased", attempts + 1, at + lease
+    if status == "leased" and what == "alive":
+        return "leased", attempts, at + lease
+    if status == "leased" and what == "done":
+        return "done", attempts, until
+    if status == "leased" and what == "fail":
+        return ("dead" if attempts >= most else "pending"), attempts, until
+    return status, attempts, until
+
+
+_LEASED = T.StructType([T.StructField("status", T.StringType()), T.StructField("attempts", T.LongType())])
+
+
+def lease_states(events: DataFrame, key: str, time: str, seq: str, kind: str) -> DataFrame:
+    """O12.7: (key, status, attempts) of each slot after its events in order; batch or, in ``foreachBatch``, over the log so far.
+
+    The events of a slot are read in order one by one, whatever Arrow batches they come in.
+    """
+    schema = T.StructType([events.schema[key], *_LEASED.fields])
+    rows = events.select(key, F.unix_micros(F.col(time).cast("timestamp")).alias("__at"), seq, kind)
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, state = None, ("pending", 0, 0.0)
+        out: list[tuple] = []
+        for pdf in batches:
+            for slot, at, what in zip(pdf[key], pdf["__at"], pdf[kind], strict=True):
+                if slot != own:
+                    if own is not None:
+                        out.append((own, *state[:2]))
+                    own, state = slot, ("pending", 0, 0.0)
+                state = lease_step(*state, LEASE_EVENTS.get(what), at / 1e6)
+            yield pd.DataFrame(out, columns=schema.names)
+            out = []
+        if own is not None:
+            yield pd.DataFrame([(own, *state[:2])], columns=schema.names)
+
+    return rows.where(F.col(key).isNotNull()).repartition(key).sortWithinPartitions(key, "__at", seq).mapInPandas(walk, schema)
+
+
 def rebuilding(source: Callable[[], DataFrame], build: Callable[[DataFrame], DataFrame], table: Versions, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
     """O12.2: late arrivals: the units that a batch touches are built anew from all of ``source``; no watermark."""
 

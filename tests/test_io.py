@@ -12,7 +12,9 @@ SF = "/root/testdata/sf0.001"
 
 def test_sources(spark, tmp_path):
     (tmp_path / "list.json").write_text('{"rcept": "1", "corp_code": "c", "title": "[정정]분기보고서 (2023.09)", "filed_at": "2023-11-14 10:00:00"}\nbroken\n')
-    r = readers.disclosure_list(spark, f"file://{tmp_path}/list.json").collect()
+    good, bad = readers.disclosure_list(spark, f"file://{tmp_path}/list.json")
+    r = good.collect()
+    assert [x.line for x in bad.collect()] == ["broken"]
     assert [(x.rcept, x.filing_type, x.close_year, x.close_month, x.is_amendment) for x in r] == [("1", "Q", 2023, 9, True)]
     (tmp_path / "q.csv").write_text("code,day,open,high,low,close,volume\na,2024-01-02,0,5,4,5,0\nb,2024-01-02,1,1,1,0,9\n")
     assert [tuple(x)[2:] for x in readers.quotes(spark, f"file://{tmp_path}/q.csv").collect()] == [(None, 5, 4, 5, 0)]

@@ -212,7 +212,11 @@ def test_assertion_runner(spark):
     df = spark.createDataFrame([(1,), (-1,)], "x int")
     tests = [checks.Assertion("bad", "ERROR", lambda t: t["r"].where("x < 0")), checks.Assertion("ok", "WARN", lambda t: t["r"].where("x > 5")), checks.Assertion("broken", "ERROR", lambda t: t["none"])]
     out, ok = checks.run(spark, tests, {"r": df})
-    assert not ok and [tuple(r) for r in out.collect()] == [("bad", "ERROR", "FAIL", 1), ("ok", "WARN", "PASS", 0), ("broken", "ERROR", "SKIP", None)]
+    assert ok is False and [tuple(r) for r in out.collect()] == [("bad", "ERROR", "FAIL", 1, None), ("ok", "WARN", "PASS", 0, None), ("broken", "ERROR", "SKIP", None, "no table 'none'")]
+    crash = checks.Assertion("crash", "ERROR", lambda t: t["r"].where("no_such_column > 1"))
+    out, ok = checks.run(spark, [tests[1], crash], {"r": df})
+    assert ok is None and out.where("status = 'BROKEN'").first().reason.startswith("AnalysisException")
+    assert checks.run(spark, [tests[1]], {"r": df})[1] is True
 
 
 def test_quotes_and_registry(spark):
@@ -231,3 +235,61 @@ def test_derived_messages(spark):
         reads.derived_series(df, ["k"], [F.col("k")], "ratio", "a")
     with pytest.raises(ValueError):
         reads.derived_series(df, ["k"], [F.col("k")], "cube", "a")
+
+
+def test_leases(spark):
+    """Against plain code, in time order whatever the order of rows."""
+    import random
+
+    from quantloom.streaming import micro_batches as mb
+
+    random.seed(4)
+    events = [(k % 7, 1000 * 3600 * random.randint(0, 60), k, random.choice(["view", "view", "purchase", "error", "click", "other"])) for k in range(300)]
+    df = spark.createDataFrame(events, "slot int, ms long, seq long, kind string").selectExpr("slot", "timestamp_millis(ms) AS at", "seq", "kind").repartition(5)
+    got = {r.slot: (r.status, r.attempts) for r in mb.lease_states(df, "slot", "at", "seq", "kind").collect()}
+    for slot in range(7):
+        status, attempts, until = "pending", 0, 0
+        for _, ms, _, kind in sorted((e for e in events if e[0] == slot), key=lambda e: (e[1], e[2])):
+            hours = ms / 3600_000
+            if status == "leased" and hours > until:
+                status = "pending" if attempts < 3 else "dead"
+            if (status, kind) == ("pending", "view"):
+                status, attempts, until = "leased", attempts + 1, hours + 6
+            elif (status, kind) == ("leased", "click"):
+                until = hours + 6
+            elif (status, kind) == ("leased", "purchase"):
+                status = "done"
+            elif (status, kind) == ("leased", "error"):
+                status = "pending" if attempts < 3 else "dead"
+        assert got[slot] == (status, attempts)
+
+
+def test_long_spans_are_kept():
+    html = "<table>" + "<tr><td rowspan=2000>a<td>0</tr>" + "".join(f"<tr><td>{k}</tr>" for k in range(1, 2500)) + "</table>"
+    (grid,) = grids.tables_of(html)
+    assert len(grid) == 2500 and grid[1999] == ["a", "1999"] and grid[2000] == ["2000", ""]
+    assert len(grids.tables_of("<table><tr><td colspan=5000>x</table>")[0][0]) == 1000
+
+
+def test_ranks_in_slices(spark):
+    values = [None, float("nan"), 3.0, 3.0, -1.0, 7.5, 0.0] * 3 + [float(k) for k in range(300)]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "k int, v double")
+    known = [v for v in values if v is not None and v == v]
+    for down in (True, False):
+        got = {r.k: r.place for r in windows.rank_min(df, "v", "place", descending=down).collect()}
+        assert got == {k: 1 + sum((x > v) if down else (x < v) for x in known) if v is not None and v == v else None for k, v in enumerate(values)}
+
+
+def test_snapshots_have_a_cap_and_an_age(spark):
+    from quantloom.sources import writers
+
+    now = [0.0]
+    kept = writers.Snapshots(most=2, seconds=10, clock=lambda: now[0])
+    a = kept.get("a", "1", lambda: spark.range(1))
+    kept.get("b", "1", lambda: spark.range(2))
+    assert kept.get("a", "1", lambda: spark.range(9)) is a
+    kept.get("c", "1", lambda: spark.range(3))  # "b" was used longest ago
+    assert set(kept._held) == {"a", "c"}
+    now[0] = 11.0
+    assert kept.get("a", "1", lambda: spark.range(9)) is not a
+    kept.clear()

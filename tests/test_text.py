@@ -12,6 +12,7 @@ from quantloom.functions import text
         (None, None), ("", None), ("-", None), ("–", None), ("1,234", 1234), ("(1,234)", -1234), ("(-)1,234", -1234), ("-1,234", -1234), ("△1,234", -1234), ("▲ 1,234", -1234),
         ("1,234 5,678", None), ("1,234 1,234", 1234), ("4,244, 863", 4244863), ("4 244 863", 4244863), ("7 23,570,750", 723570750), ("7 3,570,750", None), ("72 3,570,750", 723570750), ("7 2 3,570,750", 723570750), ("13.42", Decimal("13.42")), ("5~7", None), ("abc", None),
         ("12,345,678,901,234,567", None), ("1,234,", 1234), ("0", 0), (".5", Decimal("0.5")), ("1.2.3", None),
+        ("-\n3,272,017", None), ("- \n- \n1,473,000,000", None), ("264653801==========", 264653801), ("(2,564원)", -2564), ("1,234\n-----", None), ("(1,000)\n====", -1000), ("- 5", -5), ("1,234\n1,234", 1234),
     ],
 )
 def test_amounts(cell, wanted):
@@ -19,12 +20,12 @@ def test_amounts(cell, wanted):
 
 
 def test_amount_units():
-    assert text.amount("1,234", 1000) == 1234000 and text.amount("1,234원", 1000) == 1234
+    assert text.amount("(2,564원)", 1000) == -2564 and text.amount("1,234", 1000) == 1234000 and text.amount("1,234원", 1000) == 1234
     assert text.rounded(Decimal("2.5")) == 3 and text.rounded(Decimal("-2.5")) == -3
 
 
 def test_amount_column_agrees_with_parser(spark):
-    cells = ["1,234", "(1,234)", "-5", "(-)7", "△ 8", "1 234 567", "9 원", None, "-", "x", "13.42", "(5", "1,2,3"]
+    cells = ["1,234", "(1,234)", "-5", "(-)7", "△ 8", "1 234 567", "9 원", None, "-", "x", "13.42", "(5", "1,2,3", "-\n3,272", "26465==========", "(2,564원)", "7\n7"]
     df = spark.createDataFrame([(k, c) for k, c in enumerate(cells)], "k int, c string")
     got = {r.k: (r.value, r.exact) for r in text.with_amounts(df, "c", F.lit(10)).collect()}
     for k, c in enumerate(cells):
@@ -33,7 +34,7 @@ def test_amount_column_agrees_with_parser(spark):
     assert {r.value for r in text.with_amounts(df.where("k = 0"), "c", F.lit(None).cast("long")).collect()} == {None}
 
 
-@pytest.mark.parametrize(("label", "wanted"), [("Ⅲ. 총당기순이익", "총당기순이익"), ("1. 매  출  액 (주석 5,6)", "매출액"), ("[유동자산]", "유동자산"), ("ㆍ현금", "현금"), ("(2) 자본금", "자본금"), ("이익잉여금,39>", "이익잉여금"), ("이익잉여금<주석5,39>", "이익잉여금"), ("가. 재고자산", "재고자산"), ("Net income (Note 3)", "Net income"), (None, "")])
+@pytest.mark.parametrize(("label", "wanted"), [("Ⅲ. 총당기순이익", "총당기순이익"), ("1. 매  출  액 (주석 5,6)", "매출액"), ("[유동자산]", "유동자산"), ("ㆍ현금", "현금"), ("(2) 자본금", "자본금"), ("이익잉여금,39>", "이익잉여금"), ("이익잉여금<주석5,39>", "이익잉여금"), ("가. 재고자산", "재고자산"), ("Net income (Note 3)", "Net income"), ("XIV. 법인세비용", "법인세비용"), ("IIII. 항목", "IIII. 항목"), ("· ① 1) 현금", "1) 현금"), ("■ Ⅱ. (1) 비유동자산", "비유동자산"), ("가. (나) 항목 <주 3 및 4>", "(나) 항목"), (None, "")])
 def test_label_keys(spark, label, wanted):
     assert text.label_key_of(label) == wanted
     if label:
