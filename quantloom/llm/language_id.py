@@ -43,7 +43,7 @@ from quantloom.llm._common import small, table_batch
 TRAIN_DOCS = 40
 BLOCK = 512
 #: Characters that are laid out in lanes at once; a longer text is laid out alone.
-SLAB = 3 << 20
+SLAB = 1 << 20
 UNKNOWN = "und"
 _SPACE, _STRANGE, _FIRST = 0, 1, 2
 
@@ -95,6 +95,8 @@ class Edges:
         n = sum(map(len, states))
         keys = np.fromiter((s * width + c for s, own in enumerate(states) for c in own), np.int64, n)
         to = np.fromiter((t * width for own in states for t in own.values()), np.int64, n)
+        first_edges = states[0]
+        states.clear()  # its dictionaries take more than the table
         bits = max(4, (2 * n).bit_length())
         self._mask, self._shift = (1 << bits) - 1, np.uint64(64 - bits)
         self._keys, self._to = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
@@ -109,7 +111,7 @@ class Edges:
             left, slots = left[rest], (slots[rest] + 1) & self._mask
         #: Where a phrase that begins with a character leads; ``start`` if no training text has it.
         self.root = np.full(width, self.start, np.int64)
-        for c, t in states[0].items():
+        for c, t in first_edges.items():
             self.root[c] = t * width
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
@@ -272,9 +274,15 @@ def _lowered(text: str) -> np.ndarray:
     return _lower_points()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
 
 
-@functools.lru_cache(maxsize=4)
+#: The model that this worker process holds: one, for a model takes some 60 MB.
+_held: list[tuple[tuple[tuple[str, str], ...], Model]] = []
+
+
 def model_of(texts: tuple[tuple[str, str], ...]) -> Model:
-    return Model(texts)
+    if not _held or _held[0][0] != texts:
+        _held.clear()
+        _held.append((texts, Model(texts)))
+    return _held[0][1]
 
 
 def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs: int = TRAIN_DOCS) -> tuple[tuple[str, str], ...]:
