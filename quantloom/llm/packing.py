@@ -43,15 +43,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quantloom.llm._common import ids_by_chunk, partitions_for, row_base, saved, small, table_batch
+from quantloom.llm._common import BATCH_ROWS, ids_by_chunk, partitions_for, row_base, saved, table_batch
 
 WINDOW, TIERS = 1024, (1024, 512, 256, 128, 64)
 #: Smaller gaps aren't worth a cut.
 LEAST_GAP = 4
 STEP_WINDOWS = 256
 END_ID = 0
-#: Chunks in each of the two generations a worker remembers (about 80 MB each).
-REMEMBERED = 400_000
+#: Chunks in each of the two generations a worker remembers (about 50 MB each).
+REMEMBERED = 250_000
+#: Characters that are encoded together: a chunk that occurs again among them is looked at once.
+PART = 12 << 20
 #: Salts: pieces in one (length, salt) are this many on average at most, even if all have one length.
 SALT_PIECES, LEAST_SALTS = 50_000, 4
 
@@ -126,12 +128,12 @@ class ChunkEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """In parts of about 4 MB, so that what is new is encoded in batches and little is held."""
+        """In parts of PART characters, so that what is new is encoded in batches and what is held is bounded."""
         held, size = [], 0
         for k, text in enumerate(texts):
             held.append(text)
             size += len(text)
-            if size > 4 << 20 or k == len(texts) - 1:
+            if size > PART or k == len(texts) - 1:
                 yield from self._encode(held)
                 held, size = [], 0
 
@@ -191,6 +193,9 @@ def _cutter(path: str, end_id: int, with_ids: bool):
                         c.append(x)
                     start += length
                     row += 1
+                if len(columns[0]) >= BATCH_ROWS:
+                    yield table_batch(_CUT, columns)
+                    columns = [[] for _ in _CUT]
             yield table_batch(_CUT, columns)
 
     return cut
@@ -199,7 +204,7 @@ def _cutter(path: str, end_id: int, with_ids: bool):
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """A row per piece with its ids (little-endian unsigned 32-bit); those of whole windows only ``with_ids``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(small(_cutter(tokenizer, end_id, with_ids)), _CUT_DDL)
+    return rows.mapInArrow(_cutter(tokenizer, end_id, with_ids), _CUT_DDL)  # whole Arrow batches: Spark bounds their bytes
 
 
 @dataclass(order=True)
