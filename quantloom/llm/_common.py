@@ -60,11 +60,11 @@ BATCH_ROWS = 1000
 Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
-def small(work: Work) -> Work:
-    """``work`` on slices of BATCH_ROWS rows at most."""
+def small(work: Work, rows: int = BATCH_ROWS) -> Work:
+    """``work`` on slices of ``rows`` rows at most."""
 
     def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return work(b.slice(k, BATCH_ROWS) for b in batches for k in range(0, max(1, b.num_rows), BATCH_ROWS))
+        return work(b.slice(k, rows) for b in batches for k in range(0, max(1, b.num_rows), rows))
 
     return sliced
 

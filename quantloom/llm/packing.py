@@ -43,17 +43,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quantloom.llm._common import BATCH_ROWS, ids_by_chunk, partitions_for, row_base, saved, table_batch
+from quantloom.llm._common import BATCH_ROWS, ids_by_chunk, partitions_for, row_base, saved, small, table_batch
 
 WINDOW, TIERS = 1024, (1024, 512, 256, 128, 64)
 #: Smaller gaps aren't worth a cut.
 LEAST_GAP = 4
 STEP_WINDOWS = 256
 END_ID = 0
-#: Chunks in each of the two generations a worker remembers (about 50 MB each).
-REMEMBERED = 250_000
+#: Chunks in each of the two generations a worker remembers (about 30 MB each).
+REMEMBERED = 150_000
 #: Characters that are encoded together: a chunk that occurs again among them is looked at once.
-PART = 12 << 20
+PART = 6 << 20
+#: Rows of a slice, of which parts are made.
+SLICE_ROWS = 2500
 #: Salts: pieces in one (length, salt) are this many on average at most, even if all have one length.
 SALT_PIECES, LEAST_SALTS = 50_000, 4
 
@@ -204,7 +206,7 @@ def _cutter(path: str, end_id: int, with_ids: bool):
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """A row per piece with its ids (little-endian unsigned 32-bit); those of whole windows only ``with_ids``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_cutter(tokenizer, end_id, with_ids), _CUT_DDL)  # whole Arrow batches: Spark bounds their bytes
+    return rows.mapInArrow(small(_cutter(tokenizer, end_id, with_ids), SLICE_ROWS), _CUT_DDL)
 
 
 @dataclass(order=True)
