@@ -40,6 +40,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,16 +53,16 @@ STEP_WINDOWS = 256
 END_ID = 0
 #: Chunks in each of the two generations a worker remembers (about 30 MB each).
 REMEMBERED = 150_000
-#: Characters that are encoded together: a chunk that occurs again among them is looked at once.
-PART = 6 << 20
+#: Bytes of text that are encoded together: a chunk that occurs again among them is looked at once.
+PART = 12 << 20
 #: Rows of a slice, of which parts are made.
-SLICE_ROWS = 2500
+SLICE_ROWS = 10_000
+#: Chunks whose ids are laid side by side at once.
+GATHERED = 500_000
 #: Salts: pieces in one (length, salt) are this many on average at most, even if all have one length.
 SALT_PIECES, LEAST_SALTS = 50_000, 4
 
 _BREAK = re.compile(r"(?<=\S) ")
-#: White space before a space: there a chunk's end isn't a word's end.
-_UNSAFE = tuple(chr(c) + " " for c in range(0x3001) if chr(c).isspace())
 #: Between a letter and a run of these a word ends.
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -82,30 +83,31 @@ class ChunkEncoder:
         self._old: dict[str, bytes] = {}
         self._first: dict[str, bytes] = {}
 
-    def _remember(self, chunks: set[str]) -> None:
+    def _remember(self, chunks: list[str]) -> None:
         """Have the ids of all ``chunks``, each after a space, in the young generation."""
         if len(self._inner) > REMEMBERED:
             self._inner, self._old = {}, self._inner
         known, old = self._inner, self._old
-        new, pairs, words = [], [], set()
-        for c in chunks:
-            if c in known:
-                continue
-            if ids := old.get(c):
-                known[c] = ids
-                continue
-            word = c.rstrip(_MARKS)
-            if word.isalpha():
-                if word not in known:
-                    words.add(word)
-                if word != c:
-                    pairs.append((c, word, c[len(word) :]))
+        fresh = [c for c in chunks if c not in known]
+        if old:
+            known.update([(c, old[c]) for c in fresh if c in old])
+            fresh = [c for c in fresh if c not in old]
+        new, plain, marked, stems = [], [], [], []
+        for c in fresh:
+            if c.isalpha():
+                plain.append(c)
+            elif (word := c.rstrip(_MARKS)).isalpha():
+                marked.append(c)
+                stems.append(word)
             else:
                 new.append(c)
-        self._alone({m for _, _, m in pairs})
-        self._together([w for w in words if not self._kept(w)])
+        tails = [c[len(w) :] for c, w in zip(marked, stems, strict=True)]
+        self._alone(set(tails))
+        self._together(plain)
+        self._together([w for w in dict.fromkeys(stems) if w not in known and not self._kept(w)])
         self._together(new)
-        known.update([(c, known[w] + self._first[m]) for c, w, m in pairs])
+        first = self._first
+        known.update([(c, known[w] + first[m]) for c, w, m in zip(marked, stems, tails, strict=True)])
 
     def _kept(self, word: str) -> bool:
         if ids := self._old.get(word):
@@ -129,34 +131,69 @@ class ChunkEncoder:
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """In parts of PART characters, so that what is new is encoded in batches and what is held is bounded."""
-        held, size = [], 0
-        for k, text in enumerate(texts):
-            held.append(text)
-            size += len(text)
-            if size > PART or k == len(texts) - 1:
-                yield from self._encode(held)
-                held, size = [], 0
-
-    def _encode(self, texts: list[str]) -> Iterator[bytes]:
-        split: list[list[str] | None] = []
-        for text in texts:
-            if any(s in text for s in self.special):
-                split.append(None)
-            else:
-                unsafe = text[:1] == " " or any(w in text for w in _UNSAFE)
-                split.append(_BREAK.split(text) if unsafe else text.split(" "))
-        inner, first = set(), set()
-        for parts in split:
-            if parts:
-                first.add(parts[0])
-                inner.update(parts[1:])
-        self._remember(inner)
-        self._alone(first)
-        get = self._inner.__getitem__
-        for text, parts in zip(texts, split, strict=True):
-            yield self.whole(text) if parts is None else self._first[parts[0]] + b"".join(map(get, parts[1:]))
+    def encode(self, texts: list[str] | pa.Array) -> Iterator[bytes]:
+        """In parts of about PART bytes, so that what is new is encoded in batches and what is held is bounded."""
+        column = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        sizes = pc.binary_length(column).to_numpy(zero_copy_only=False)
+        ends, first = np.cumsum(sizes), 0
+        while first < len(column):
+            done = ends[first] - sizes[first]
+            end = max(first + 1, int(np.searchsorted(ends, done + PART, "right")))
+            yield from self._encode(column.slice(first, end - first))
+            first = end
+
+    def _encode(self, texts: pa.LargeStringArray) -> Iterator[bytes]:
+        split = pc.split_pattern(texts, " ")
+        sizes = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(sizes)
+        coded = split.flatten().dictionary_encode()
+        at, chunks = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        del split, coded
+        unlike = np.array([not c or c[-1].isspace() for c in chunks], bool)
+
+        # Texts apart: those with a special token are encoded whole, those with white space before a space are split elsewhere.
+        special = np.zeros(len(texts), bool)
+        for s in self.special:
+            special |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        unsafe = np.logical_or.reduceat(unlike[at], ends - sizes) & ~special
+        own = {k: _BREAK.split(texts[k].as_py()) for k in np.flatnonzero(unsafe).tolist()}
+
+        first = {k: chunks[at[ends[k] - sizes[k]]] for k in np.flatnonzero(~(special | unsafe)).tolist()} | {k: parts[0] for k, parts in own.items()}
+        # Only texts apart hold these chunks; they aren't looked up.
+        wrong = np.flatnonzero(unlike).tolist()
+        if special.any():
+            wrong += [k for k, c in enumerate(chunks) if any(s in c for s in self.special)]
+        for k in wrong:
+            chunks[k] = ""
+        whole = [c for c in chunks if c]
+        self._remember(whole + list(set().union(*(parts[1:] for parts in own.values())).difference(whole)))
+        self._alone(set(first.values()))
+        del whole
+        known = self._inner
+        flat = [known[c] if c else b"" for c in chunks]
+        width = np.fromiter(map(len, flat), np.int64, len(flat)) // 4
+        begin = np.cumsum(width) - width
+        ids = np.frombuffer(b"".join(flat), "<u4")
+        del flat
+
+        k = 0
+        while k < len(texts):
+            if special[k] or unsafe[k]:
+                yield self.whole(texts[k].as_py()) if special[k] else self._first[own[k][0]] + b"".join(map(known.__getitem__, own[k][1:]))
+                k += 1
+                continue
+            # Some texts together, without their first chunks, whose ids are other ones.
+            low = ends[k] - sizes[k]
+            stop = max(k + 1, int(np.searchsorted(ends, low + GATHERED, "right")))
+            apart = np.flatnonzero(special[k:stop] | unsafe[k:stop])
+            stop = k + int(apart[0]) if len(apart) else stop
+            here = at[low : ends[stop - 1]]
+            n = width[here]
+            upto = np.cumsum(n)
+            out = ids[np.repeat(begin[here] - upto + n, n) + np.arange(upto[-1])]
+            for j in range(k, stop):
+                yield self._first[first[j]] + out[upto[ends[j] - sizes[j] - low] : upto[ends[j] - 1 - low]].tobytes()
+            k = stop
 
 
 @functools.lru_cache(maxsize=2)
@@ -185,7 +222,7 @@ def _cutter(path: str, end_id: int, with_ids: bool):
         own, row = encoder(path), row_base()
         for batch in batches:
             columns: list[list] = [[] for _ in _CUT]
-            for doc, ids in zip(batch.column(0).to_pylist(), own.encode([t or "" for t in batch.column(1).to_pylist()]), strict=True):
+            for doc, ids in zip(batch.column(0).to_pylist(), own.encode(batch.column(1).fill_null("")), strict=True):
                 view, start = memoryview(ids + tail), 0
                 n = len(view) // 4
                 for length in cuts(n):

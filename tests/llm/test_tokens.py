@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 import sentencepiece
@@ -102,6 +103,17 @@ def test_chunked_ids_are_the_tokenizers(batch):
         assert np.frombuffer(ids, "<u4").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_texts_apart_lie_among_others(monkeypatch):
+    monkeypatch.setattr(packing, "GATHERED", 5)
+    own = packing.ChunkEncoder(BYTE_BPE)
+    batch = ["", " ", "a ", " a", "one two, three.", "a  b", "x<|endoftext|> y", "<|endoftext|>", "a\n b\n", "one two, three.", "b ", "wo.\nTo be!!", "\u3000 c", "d" * 50, "12 % 3", "a <|endoftext|> "]
+    for texts_ in (batch, batch[::-1], pa.array(batch), pa.array(batch).slice(3, 9)):
+        plain = texts_ if isinstance(texts_, list) else texts_.to_pylist()
+        for text, ids in zip(plain, own.encode(texts_), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+    assert list(own.encode([])) == []
+
+
 def test_remembering_is_bounded(monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 40)
     own = packing.ChunkEncoder(BYTE_BPE)
