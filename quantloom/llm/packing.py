@@ -31,6 +31,7 @@ token, as the tokenizer has it.
 from __future__ import annotations
 
 import functools
+import operator
 import os
 import re
 import zlib
@@ -51,7 +52,7 @@ WINDOW, TIERS = 1024, (1024, 512, 256, 128, 64)
 LEAST_GAP = 4
 STEP_WINDOWS = 256
 END_ID = 0
-#: Chunks in each of the two generations a worker remembers (about 30 MB each).
+#: A generation of chunks with more than this many is the old one of two when the next part begins (about 30 MB each).
 REMEMBERED = 150_000
 #: Bytes of text that are encoded together: a chunk that occurs again among them is looked at once.
 PART = 12 << 20
@@ -90,7 +91,8 @@ class ChunkEncoder:
         known, old = self._inner, self._old
         fresh = [c for c in chunks if c not in known]
         if old:
-            known.update([(c, old[c]) for c in fresh if c in old])
+            again = [c for c in fresh if c in old]
+            known.update(zip(again, map(old.__getitem__, again), strict=True))
             fresh = [c for c in fresh if c not in old]
         new, plain, marked, stems = [], [], [], []
         for c in fresh:
@@ -106,8 +108,7 @@ class ChunkEncoder:
         self._together(plain)
         self._together([w for w in dict.fromkeys(stems) if w not in known and not self._kept(w)])
         self._together(new)
-        first = self._first
-        known.update([(c, known[w] + first[m]) for c, w, m in zip(marked, stems, tails, strict=True)])
+        known.update(zip(marked, map(operator.add, map(known.__getitem__, stems), map(self._first.__getitem__, tails)), strict=True))
 
     def _kept(self, word: str) -> bool:
         if ids := self._old.get(word):
@@ -132,13 +133,15 @@ class ChunkEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: list[str] | pa.Array) -> Iterator[bytes]:
-        """In parts of about PART bytes, so that what is new is encoded in batches and what is held is bounded."""
+        """In even parts of PART bytes at most (or a text), so that what is new is encoded in batches and what is held is bounded."""
         column = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
         sizes = pc.binary_length(column).to_numpy(zero_copy_only=False)
         ends, first = np.cumsum(sizes), 0
+        total = int(sizes.sum())
+        each = total // max(1, -(-total // PART)) + 1
         while first < len(column):
             done = ends[first] - sizes[first]
-            end = max(first + 1, int(np.searchsorted(ends, done + PART, "right")))
+            end = max(first + 1, int(np.searchsorted(ends, done + each, "right")))
             yield from self._encode(column.slice(first, end - first))
             first = end
 
@@ -148,8 +151,9 @@ class ChunkEncoder:
         ends = np.cumsum(sizes)
         coded = split.flatten().dictionary_encode()
         at, chunks = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        del split, coded
-        unlike = np.array([not c or c[-1].isspace() for c in chunks], bool)
+        last = pc.utf8_slice_codeunits(coded.dictionary, -1).dictionary_encode()
+        unlike = np.array([not c or c.isspace() for c in last.dictionary.to_pylist()], bool)[last.indices.to_numpy()]
+        del split, coded, last
 
         # Texts apart: those with a special token are encoded whole, those with white space before a space are split elsewhere.
         special = np.zeros(len(texts), bool)
@@ -194,6 +198,14 @@ class ChunkEncoder:
             for j in range(k, stop):
                 yield self._first[first[j]] + out[upto[ends[j] - sizes[j] - low] : upto[ends[j] - 1 - low]].tobytes()
             k = stop
+        # What came once isn't remembered.
+        for k in np.flatnonzero(np.bincount(at, minlength=len(chunks)) == 1).tolist():
+            known.pop(chunks[k], None)
+
+    def rest(self) -> None:
+        """Between tasks: keep one generation of chunks, in a table of its size."""
+        self._inner, self._old = dict(self._inner), {}
+        pa.default_memory_pool().release_unused()
 
 
 @functools.lru_cache(maxsize=2)
@@ -236,6 +248,7 @@ def _cutter(path: str, end_id: int, with_ids: bool):
                     yield table_batch(_CUT, columns)
                     columns = [[] for _ in _CUT]
             yield table_batch(_CUT, columns)
+        own.rest()
 
     return cut
 
