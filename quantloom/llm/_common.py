@@ -7,7 +7,7 @@ executors and the driver see it), in a folder of the application, which :func:`r
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Hashable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -107,6 +107,17 @@ def row_base() -> int:
     return (context.partitionId() if context else 0) << 33
 
 
+_sole: dict[Hashable, object] = {}
+
+
+def sole(key: Hashable, make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept by this worker process until another key is asked for: models take tens of MB each."""
+    if key not in _sole:
+        _sole.clear()
+        _sole[key] = make()
+    return _sole[key]
+
+
 def partitions_for(n: int, per_partition: int, least: int = 1) -> int:
     return max(least, -(-n // per_partition))
 

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from quantloom.llm._common import small, table_batch
+from quantloom.llm._common import small, sole, table_batch
 
 TRAIN_DOCS = 40
 BLOCK = 512
@@ -274,15 +274,8 @@ def _lowered(text: str) -> np.ndarray:
     return _lower_points()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
 
 
-#: The model that this worker process holds: one, for a model takes some 60 MB.
-_held: list[tuple[tuple[tuple[str, str], ...], Model]] = []
-
-
 def model_of(texts: tuple[tuple[str, str], ...]) -> Model:
-    if not _held or _held[0][0] != texts:
-        _held.clear()
-        _held.append((texts, Model(texts)))
-    return _held[0][1]
+    return sole(("languages", texts), lambda: Model(texts))
 
 
 def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs: int = TRAIN_DOCS) -> tuple[tuple[str, str], ...]:

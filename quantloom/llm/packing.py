@@ -30,7 +30,6 @@ token, as the tokenizer has it.
 
 from __future__ import annotations
 
-import functools
 import operator
 import os
 import re
@@ -45,7 +44,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quantloom.llm._common import BATCH_ROWS, ids_by_chunk, partitions_for, row_base, saved, small, table_batch
+from quantloom.llm._common import BATCH_ROWS, ids_by_chunk, partitions_for, row_base, saved, small, sole, table_batch
 
 WINDOW, TIERS = 1024, (1024, 512, 256, 128, 64)
 #: Smaller gaps aren't worth a cut.
@@ -208,9 +207,8 @@ class ChunkEncoder:
         pa.default_memory_pool().release_unused()
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str) -> ChunkEncoder:
-    return ChunkEncoder(path)
+    return sole(("chunks", path), lambda: ChunkEncoder(path))
 
 
 def cuts(n: int) -> list[int]:
