@@ -71,6 +71,14 @@ def small(work: Work, rows: int = BATCH_ROWS) -> Work:
 
 #: A key with more than this part of all rows is hot, so there are HOT_PART hot keys at most.
 HOT_PART = 4096
+#: Rows of a table that Spark may broadcast unasked. Its own estimate is of compressed files and leaves out
+#: explodes, so that a table of some hundred thousand rows can take all of the driver's heap.
+SENT_MOST = 100_000
+
+
+def shuffled(table: DataFrame, rows: int | None = None) -> DataFrame:
+    """``table`` as a join's side that is sorted and merged, never broadcast, unless it has SENT_MOST of ``rows`` at most."""
+    return table if rows is not None and rows <= SENT_MOST else table.hint("merge")
 
 
 def joined(rows: DataFrame, table: DataFrame, keys: Sequence[str], n: str, total: int, few: int = 0) -> DataFrame:
@@ -82,11 +90,11 @@ def joined(rows: DataFrame, table: DataFrame, keys: Sequence[str], n: str, total
     """
     keys = list(keys)
     if total <= few:
-        return rows.join(table.drop(n), keys)
+        return rows.join(shuffled(table.drop(n), total), keys)
     hot = table.where(F.col(n) > max(1, total // HOT_PART)).drop(n).limit(HOT_PART)
     cold = table.where(F.col(n) <= max(1, total // HOT_PART)).drop(n)
     rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    return rows.join(F.broadcast(hot), keys).unionByName(rest.join(cold, keys))
+    return rows.join(F.broadcast(hot), keys).unionByName(rest.join(shuffled(cold, total), keys))
 
 
 def raw(column: pa.Array) -> list[bytes | None]:

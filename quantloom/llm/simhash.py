@@ -15,7 +15,8 @@ looks up, as a whole, every fingerprint within the radius whose half differs by
 
 Copies share a fingerprint and take part once. Links between distinct fingerprints are joined
 to components by alternating large-star and small-star steps, whose edges stay distributed.
-Fingerprints and nodes that very many rows hold are joined by broadcast (``_common.joined``).
+Fingerprints and nodes that very many rows hold are joined by broadcast (``_common.joined``); tables
+that grow with the input are never broadcast.
 
 Defined cases: a null text counts as empty; a text without words has fingerprint zero and is
 linked like any other; very long texts are hashed whole; a null id never is a component's id
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quantloom.llm._common import delete, joined, raw, saved, scratch_path, small
+from quantloom.llm._common import delete, joined, raw, saved, scratch_path, shuffled, small
 
 WORDS, RADIUS, SEED = 3, 2, 42
 HALF_MOST = 4096
@@ -104,13 +105,13 @@ def links(fps: DataFrame, radius: int = RADIUS, half_most: int = HALF_MOST) -> D
     if some:
         held = stored.join(crowded, ["part", "seg"], "left_semi")
         stored = stored.join(crowded, ["part", "seg"], "left_anti")
-    met = stored.join(balls, ["part", "seg"]).where((F.col("stored") != F.col("asked")) & (F.bit_count(F.col("stored").bitwiseXOR(F.col("asked"))) <= radius))
+    met = stored.join(shuffled(balls), ["part", "seg"]).where((F.col("stored") != F.col("asked")) & (F.bit_count(F.col("stored").bitwiseXOR(F.col("asked"))) <= radius))
     if some:
         for part in (0, 1):
             masks = _masks(part, radius) or [0]
             near = held.where(F.col("part") == part).select("part", "seg", "stored", F.explode(F.array(*map(F.lit, masks))).alias("m"))
             whole = near.select("part", "seg", "stored", F.col("stored").bitwiseXOR(F.col("m")).alias("asked"))
-            met = met.unionByName(whole.join(fps.select(F.col("fp").alias("asked")), "asked").where(F.col("stored") != F.col("asked")))
+            met = met.unionByName(whole.join(shuffled(fps.select(F.col("fp").alias("asked"))), "asked").where(F.col("stored") != F.col("asked")))
     return met.select(F.least("stored", "asked").alias("a"), F.greatest("stored", "asked").alias("b")).distinct()
 
 
@@ -146,7 +147,7 @@ def _grouped(prints: DataFrame, radius: int) -> tuple[DataFrame, int]:
     distinct = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")), "simhash-distinct")
     total, nodes = distinct.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     roots = components(links(distinct.select("fp"), radius))
-    rooted = saved(distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first_id", "n", F.coalesce("root", "fp").alias("root")), "simhash-rooted")
+    rooted = saved(distinct.join(shuffled(roots, nodes), distinct["fp"] == roots["node"], "left").select("fp", "first_id", "n", F.coalesce("root", "fp").alias("root")), "simhash-rooted")
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("__n"))
     return saved(joined(rooted, smallest, ["root"], "__n", nodes).select("fp", "root", "component_id", "n"), "simhash-groups"), total
 
@@ -168,8 +169,8 @@ def keep_firsts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     prints = saved(fingerprints(docs.withColumn("__key", digest), id_col, text_col, words, "__key"), "simhash")
     groups, _ = _grouped(prints, radius)
     own = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.col("__key").alias("key"))
-    firsts = prints.groupBy("fp").agg(F.min(own).alias("own")).join(groups, "fp").groupBy("root").agg(F.min("own").alias("own"))
+    firsts = prints.groupBy("fp").agg(F.min(own).alias("own")).join(shuffled(groups), "fp").groupBy("root").agg(F.min("own").alias("own"))
     firsts = firsts.select(F.col("own.doc_id").alias("__id"), F.col("own.key").alias("__first"))
-    kept = docs.withColumn("__key", digest).join(firsts, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__first")), "left_semi")
+    kept = docs.withColumn("__key", digest).join(shuffled(firsts), F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__first")), "left_semi")
     repeated = not prints.groupBy("doc_id", "__key").count().where("count > 1").isEmpty()
     return (kept.dropDuplicates([id_col, "__key"]) if repeated else kept).drop("__key")

@@ -237,3 +237,16 @@ def test_hot_keys_join_like_others(spark, monkeypatch):
     table = rows.groupBy("key").count().withColumnRenamed("count", "n")
     got = _common.joined(rows, table.selectExpr("key", "n", "key * 10 AS ten"), ["key"], "n", 100)
     assert sorted((r.key, r.row, r.ten) for r in got.collect()) == sorted((r.key, r.row, r.key * 10) for r in rows.collect()) and got.columns == ["key", "row", "ten"]
+
+
+def test_growing_tables_are_not_broadcast(spark):
+    """By Spark's own estimate, that of the compressed file, the balls of some 300,000 fingerprints were sent to the driver."""
+    from quantloom.llm._common import SENT_MOST, joined, saved
+
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    fps = saved(spark.range(1000).selectExpr("xxhash64(id) AS fp"), "test-fps")
+    assert "BroadcastHashJoin" not in plan(simhash.links(fps)) and "SortMergeJoin" in plan(simhash.links(fps))
+    rows, table = fps.selectExpr("fp % 7 AS k"), saved(spark.range(7).selectExpr("id AS k", "1L AS n"), "test-table")
+    assert "BroadcastHashJoin" in plan(joined(rows, table, ["k"], "n", SENT_MOST, 1 << 20))
+    assert "BroadcastHashJoin" not in plan(joined(rows, table, ["k"], "n", SENT_MOST + 1, 1 << 20))
+    assert "SortMergeJoin" in plan(joined(rows, table, ["k"], "n", SENT_MOST + 1))
