@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import re
+from collections.abc import Iterator
 from html import unescape
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,26 +84,38 @@ def grid_cells(df: DataFrame, keys: Keys, wanted: str, skip: str = r"(?i)^(?:tot
     return rows.select(*keys, "row_ord", "label", F.inline("cells")).where(F.col("header").rlike(wanted))
 
 
+def _walker(label: str, indent: str):
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stack: list[tuple[float, str]] = []  # indent and path, own label included, of the last row and its ancestors
+        for batch in batches:
+            *columns, first = batch.columns
+            paths, depths = [], []
+            names, spaces = (columns[batch.schema.get_field_index(c)].to_pylist() for c in (label, indent))
+            for name, space, new in zip(names, spaces, first.to_pylist(), strict=True):
+                if new:
+                    stack.clear()
+                space = math.nan if space is None else space
+                while stack and stack[-1][0] >= space:
+                    stack.pop()
+                path = stack[-1][1] if stack else ""
+                paths.append(path)
+                depths.append(len(stack))
+                stack.append((space, f"{path}>{name or ''}" if stack else name or ""))
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(paths, pa.string()), pa.array(depths, pa.int32())], names=[*batch.schema.names[:-1], "path", "depth"])
+
+    return walk
+
+
 def with_paths(lines: DataFrame, keys: Keys, order: str, label: str, indent: str) -> DataFrame:
     """O1.9: ancestors by indent, joined with '>'; an ancestor is left when its indent is at least the row's own.
 
-    Sequential within a table: one pandas call a table, whose rows are those of one page.
+    Sequential within a table, whose rows are those of one page: a task sorts its tables and walks
+    over all of them in one pass, with the stack carried from batch to batch. A null label counts as
+    empty; a row with a null indent leaves no ancestor and is left by no row; a null order comes last.
     """
     schema = T.StructType([*lines.schema.fields, T.StructField("path", T.StringType()), T.StructField("depth", T.IntegerType())])
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        stack: list[tuple[int, str]] = []
-        paths, depths = [], []
-        for name, space in zip(pdf[label], pdf[indent], strict=True):
-            while stack and stack[-1][0] >= space:
-                stack.pop()
-            paths.append(">".join(n for _, n in stack))
-            depths.append(len(stack))
-            stack.append((space, name))
-        return pdf.assign(path=paths, depth=pd.Series(depths, index=pdf.index, dtype="int32"))
-
-    return lines.groupBy(*keys).applyInPandas(walk, schema)
+    first = F.row_number().over(over(keys, F.col(order).asc_nulls_last())) == 1
+    return lines.withColumn("__first", first).mapInArrow(_walker(label, indent), schema)
 
 
 def node_role(keys: Keys, order: str, indent: str) -> Column:

@@ -208,6 +208,26 @@ def test_paths(spark):
     assert [r.r for r in df.withColumn("r", grids.node_role(["t"], "o", "indent")).orderBy("o").collect()] == ["P", "P", "S", "S", "F", "S"]
 
 
+def test_paths_of_many_tables_in_one_pass(spark):
+    """No Python call a table; stacks go over batches; null labels and null keys are rows like others."""
+    rng = random.Random(8)
+    data = [(t or None, k, rng.choice(("A", "B", "C", None)), rng.choice((0, 1, 2, 3, None))) for t in range(40) for k in range(rng.choice((1, 5, 30)))]
+    wanted, stack = [], []
+    for t, k, label, indent in data:
+        stack = stack if k else []
+        while stack and None not in (indent, stack[-1][0]) and stack[-1][0] >= indent:
+            stack.pop()
+        wanted.append((t or 0, k, ">".join(n for _, n in stack), len(stack)))
+        stack.append((indent, label or ""))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = grids.with_paths(spark.createDataFrame(data, "t int, o int, label string, indent int").repartition(3), ["t"], "o", "label", "indent")
+        assert sorted((r.t or 0, r.o, r.path, r.depth) for r in got.collect()) == wanted
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got.columns == ["t", "o", "label", "indent", "path", "depth"] and "FlatMapGroups" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_assertion_runner(spark):
     df = spark.createDataFrame([(1,), (-1,)], "x int")
     tests = [checks.Assertion("bad", "ERROR", lambda t: t["r"].where("x < 0")), checks.Assertion("ok", "WARN", lambda t: t["r"].where("x > 5")), checks.Assertion("broken", "ERROR", lambda t: t["none"])]
