@@ -1,13 +1,16 @@
-"""Near copies of whole texts: Jaccard similarity of five-word shingles, found by MinHash bands.
+"""Near copies of whole texts: Jaccard similarity of five-word shingles, found by SimHash and MinHash bands.
 
 Shingles: A-Z lower-cased, words are runs of non-white ASCII, shingles are ``WORDS`` consecutive
 words joined by a space, each counted once; a shorter text is one shingle. Two texts are near
 copies if their sets of shingles agree by ``SHARE`` (0.8) or more; groups are the components of
 these links.
 
-Search: ``BANDS`` bands of ``ROWS`` MinHash values. Two texts at similarity s share a band with
-probability 1 - (1 - s^ROWS)^BANDS, which is 0.999997 at 0.8. Of the pairs that share a band, those
-of whose BANDS * ROWS values fewer than ``MARKS_LEAST`` agree (in their last 8 bits) are out: at 0.8,
+Search: operator 7 (``simhash``) makes fingerprints of the same shingles, repeats included, joins those
+that differ in ``RADIUS`` bits or fewer by multi-index hashing and forms their components. Near copies at
+0.8 differ in more bits than balls can reach, so each text is also in ``BANDS`` bands of ``ROWS`` MinHash
+values; a group of fingerprints is one more band of its members. Two texts at similarity s share a band
+with probability 1 - (1 - s^ROWS)^BANDS or more, which is 0.999997 at 0.8. Of the pairs that share a band,
+those of whose BANDS * ROWS values fewer than ``MARKS_LEAST`` agree (in their last 8 bits) are out: at 0.8,
 77 of 96 agree in the mean and fewer than 58 with a probability of some 3e-6. The rest are verified on
 the shingles themselves, so no wrong link is made.
 
@@ -37,14 +40,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quantloom.llm._common import joined, raw, saved, small
+from quantloom.llm import simhash
+from quantloom.llm._common import joined, raw, saved, shuffled, small
 from quantloom.llm.simhash import FEW, components
 
 WORDS, SEED = 5, 42
+#: Differing bits of fingerprints that operator 7's two segments find.
+RADIUS = 2
 BANDS, ROWS = 24, 4
 #: SHARE as a fraction of whole numbers: 4 of 5.
 SHARE = (4, 5)
@@ -60,13 +65,7 @@ _BLOCK = 1 << 12
 
 def shingles(text: bytes | None, words: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of the shingles; none for a text without words."""
-    found = (text or b"").lower().split()
-    joined, digest = b" ".join(found), xxhash.xxh64_intdigest
-    if len(found) <= words:
-        return np.array([digest(joined, SEED)] if found else [], dtype=np.uint64)
-    ends = (np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1).tolist()
-    starts = [0, *(e + 1 for e in ends[: len(found) - words])]
-    return np.unique(np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[words - 1 :], strict=True)], dtype=np.uint64))
+    return np.unique(simhash.shingle_hashes(text, words))
 
 
 def bands(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -81,8 +80,8 @@ def bands(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (folded ^ folded >> np.uint64(29)) * _BAND_FACTORS[:, 0], least.astype(np.uint8).view(np.int8)
 
 
-_NODES = pa.schema([("key", pa.string()), ("doc_id", pa.int64()), ("digest", pa.string()), ("node", pa.binary()), ("bands", pa.list_(pa.int64())), ("marks", pa.list_(pa.int8()))])
-_NODES_DDL = "key string, doc_id long, digest string, node binary, bands array<long>, marks array<tinyint>"
+_NODES = pa.schema([("key", pa.string()), ("doc_id", pa.int64()), ("digest", pa.string()), ("node", pa.binary()), ("bands", pa.list_(pa.int64())), ("marks", pa.list_(pa.int8())), ("fp", pa.int64())])
+_NODES_DDL = "key string, doc_id long, digest string, node binary, bands array<long>, marks array<tinyint>, fp long"
 _SETS = pa.schema([("node", pa.binary()), ("shingles", pa.list_(pa.int64()))])
 
 
@@ -95,8 +94,12 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = raw(batch.column(3))
         nodes = [hashlib.md5(b" ".join((t or b"").lower().split())).digest() for t in texts]
-        found = [bands(shingles(t)) for t in texts]
-        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), batch.column(1), batch.column(2).cast(pa.string()), pa.array(nodes, pa.binary()), _lists([b for b, _ in found], np.int64), _lists([m for _, m in found], np.int8)], schema=_NODES)
+        found, fps = [], []
+        for t in texts:
+            hashes = simhash.shingle_hashes(t, WORDS)
+            found.append(bands(np.unique(hashes)))
+            fps.append(simhash.majority(hashes))
+        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), batch.column(1), batch.column(2).cast(pa.string()), pa.array(nodes, pa.binary()), _lists([b for b, _ in found], np.int64), _lists([m for _, m in found], np.int8), pa.array(np.array(fps, np.uint64).view(np.int64))], schema=_NODES)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,9 +137,20 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return fit.where((part + whole) * both >= part * (n + m)).select("a", "b")
 
 
+def by_fingerprint(nodes: DataFrame) -> DataFrame:
+    """``nodes`` (node, fp) -> (node, band): operator 7's groups of fingerprints within ``RADIUS`` bits, of two nodes or more."""
+    own = saved(nodes.groupBy("fp").agg(F.count(F.lit(1)).alias("n")), "near-fps")
+    roots = components(simhash.links(own.select("fp"), RADIUS))
+    rooted = saved(own.join(shuffled(roots), own["fp"] == roots["node"], "left").select("fp", "n", F.coalesce("root", "fp").alias("band")), "near-fp-roots")
+    several = rooted.groupBy("band").agg(F.sum("n").alias("size")).where("size > 1").select("band")
+    held = rooted.join(shuffled(several), "band").select("fp", "band", "n")
+    total = own.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return joined(nodes.select("node", "fp"), saved(held, "near-fp-groups"), ["fp"], "n", total).select("node", "band")
+
+
 def _groups(nodes: DataFrame, rows: DataFrame) -> DataFrame:
-    """``nodes`` (node, first, bands, marks) of ``rows`` (key, text), a row per key -> (node, root) of those that are linked to others."""
-    members = nodes.select("node", F.explode("bands").alias("band")).repartition("band")
+    """``nodes`` (node, first, bands, marks, fp) of ``rows`` (key, text), a row per key -> (node, root) of those that are linked to others."""
+    members = nodes.select("node", F.explode("bands").alias("band")).unionByName(by_fingerprint(nodes.where(F.size("bands") > 0))).repartition("band")
     shared = members.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size")).where("low <> high")
     close = saved(members.join(shared, "band"), "near-close")
     # Copies of one text keep most of its values, so the text in the middle of a group shares the most bands with others.
@@ -195,7 +209,7 @@ def keep_firsts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     sketches = saved(rows.mapInArrow(small(_sketches), _NODES_DDL), "near-sketches")
     repeated = not sketches.groupBy("key").count().where("count > 1").isEmpty()
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest", "key")).alias("first")
-    nodes = saved(sketches.groupBy("node").agg(first, F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"), F.first("marks").alias("marks")), "near-nodes")
+    nodes = saved(sketches.groupBy("node").agg(first, F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"), F.first("marks").alias("marks"), F.first("fp").alias("fp")), "near-nodes")
     roots = _groups(nodes, rows.dropDuplicates(["key"]) if repeated else rows)
     rooted = saved(nodes.join(roots, "node", "left").select("node", "first", "n", F.coalesce("root", "node").alias("root")), "near-rooted")
     firsts = rooted.groupBy("root").agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("__n"))

@@ -46,17 +46,19 @@ FEW = 1_000_000
 _BLOCK = 1 << 16
 
 
-def fingerprint(text: bytes | None, words: int = WORDS) -> int:
+def shingle_hashes(text: bytes | None, words: int = WORDS) -> np.ndarray:
+    """Hashes of the shingles in order, repeats included; none for a text without words."""
     found = (text or b"").lower().split()
-    if not found:
-        return 0
-    joined = b" ".join(found)
-    digest = xxhash.xxh64_intdigest
+    joined, digest = b" ".join(found), xxhash.xxh64_intdigest
     if len(found) <= words:
-        return digest(joined, SEED)
+        return np.array([digest(joined, SEED)] if found else [], dtype="<u8")
     ends = (np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1).tolist()
     starts = [0, *(e + 1 for e in ends[: len(found) - words])]
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[words - 1 :], strict=True)], dtype="<u8")
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[words - 1 :], strict=True)], dtype="<u8")
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of these hashes; zero for none."""
     counts = np.zeros(64, np.int64)
     for k in range(0, len(hashes), _BLOCK):
         part = hashes[k : k + _BLOCK]
@@ -64,6 +66,10 @@ def fingerprint(text: bytes | None, words: int = WORDS) -> int:
     return int(np.packbits((2 * counts > len(hashes)).astype(np.uint8), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: bytes | None, words: int = WORDS) -> int:
+    return majority(shingle_hashes(text, words))
+
+
 def _printer(words: int):
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -101,3 +101,21 @@ def test_threshold_is_exact(spark):
     for drop in range(4, 12):
         pair = [(1, " ".join(words)), (2, " ".join(words[drop:]))]
         assert [d for d, _ in kept(spark, pair)] == [d for d, _ in brute_firsts(pair)]
+
+
+def test_groups_of_fingerprints_are_searched(spark):
+    """Near copies that share no band, but whose fingerprints operator 7 links, are found; unlike texts stay apart."""
+    from quantloom.llm import simhash
+    from quantloom.llm._common import saved, small
+
+    base = " ".join(f"u{k}" for k in range(3000))
+    texts = [base, base + " end", " ".join(f"z{k}" for k in range(50))]
+    prints = [simhash.fingerprint(t.encode(), near_copies.WORDS) for t in texts]
+    assert 0 < (prints[0] ^ prints[1]).bit_count() <= near_copies.RADIUS < (prints[0] ^ prints[2]).bit_count()
+    rows = near_copies._rows(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", "text")
+    sketches = saved(rows.mapInArrow(small(near_copies._sketches), near_copies._NODES_DDL), "test-sketches")
+    assert [r.fp % (1 << 64) for r in sketches.orderBy("doc_id").collect()] == prints
+    nodes = saved(sketches.selectExpr("node", "struct(key) AS first", "array(xxhash64(node)) AS bands", "marks", "fp"), "test-nodes")
+    roots = near_copies._groups(nodes, rows).collect()
+    own = {bytes(r.node) for r in sketches.where("doc_id < 2").collect()}
+    assert {bytes(r.node) for r in roots} <= own and {bytes(r.root) for r in roots} == {min(own)}
